@@ -1,9 +1,12 @@
 """The registered queries of this subpackage, one an operator, and their SQL where SQL can express them."""
 
-from . import mixing, packing
+from . import hostrules, mixing, packing, secrets, sharding
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_resharding": sharding.op2_resharding,
+    "op3_secrets": secrets.op3_secrets,
+    "op6_hostrules": hostrules.op6_hostrules,
     "op8_mixing": mixing.op8_mixing,
 }
-ORACLES = {"op8_mixing": mixing.ORACLE}
+ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE}
