@@ -143,3 +143,32 @@ def runs_hash(h: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         out = mix64(out * _STEP + h[j : j + n])
     return out
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the Arrow batches that Python workers get: a batch holds whole texts or sets, some of them very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def components(edges: DataFrame, tag: str = "components") -> DataFrame:
+    """edges: a, b (long). Connected components: node, root (the smallest node of its component), for the nodes that have edges. Large-star
+    and small-star steps in turn, until nothing changes; each step's edges are written to the shared folder."""
+
+    def least(e: DataFrame) -> DataFrame:
+        low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("_u", "m").alias("m"))
+        return e.join(low, e["u"] == low["_u"]).drop("_u")
+
+    def sums(e: DataFrame):
+        return e.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("a", "b"), 30))).first()
+
+    now = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), tag)
+    before = None
+    while (state := sums(now)) != before:
+        before = state
+        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        large = least(both).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        small = least(down)
+        small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        now = materialize(small.where("a <> b").distinct(), tag)
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
