@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, one an operator, and their SQL where SQL can express them."""
 
-from . import hostrules, jaccard, mixing, packing, secrets, sharding
+from . import hostrules, jaccard, mixing, packing, secrets, sharding, substrings
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -9,5 +9,6 @@ QUERIES = {
     "op6_hostrules": hostrules.op6_hostrules,
     "op8_mixing": mixing.op8_mixing,
     "op9_jaccard": jaccard.op9_jaccard,
+    "op10_substrings": substrings.op10_substrings,
 }
 ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE}
