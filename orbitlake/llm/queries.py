@@ -1,12 +1,14 @@
 """The registered queries of this subpackage, one an operator, and their SQL where SQL can express them."""
 
-from . import ann, hostrules, jaccard, mixing, packing, secrets, sharding, substrings
+from . import ann, hostrules, importance, jaccard, mixing, packing, secrets, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_resharding": sharding.op2_resharding,
     "op3_secrets": secrets.op3_secrets,
     "op4_collisions": ann.op4_collisions,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op7_importance": importance.op7_importance,
     "op6_hostrules": hostrules.op6_hostrules,
     "op8_mixing": mixing.op8_mixing,
     "op9_jaccard": jaccard.op9_jaccard,
