@@ -73,15 +73,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     Every row is taken floor(target / source_size) times; the rest of the target goes to the rows whose hash is below the source's threshold.
     A null source is a source of its own, last in order. Repeated ids share a hash and so are taken or left together. An empty table gives none.
     A source of size 0 has target 0."""
-    sized = docs.select("doc_id", "source", *keep, n_words(text_or_empty(text)).alias("size"), hash60().alias("h"))
-    sized = materialize(sized, "mix-sized")
+    measured = lambda *cols: docs.select("doc_id", "source", *cols, n_words(text_or_empty(text)).alias("size"), hash60().alias("h"))
+    sized = materialize(measured(), "mix-sized")
     plan = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     plan = plan.withColumn("_whole", F.least(F.floor(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))), F.lit(int(most))).cast("long"))
     plan = plan.withColumn("budget", F.when(F.col("_whole") >= int(most), F.lit(0.0)).otherwise(F.col("target") - F.col("_whole") * F.col("source_size")))
     plan = materialize(plan, "mix-plan")
     cut = thresholds(sized.select("source", "h", "size"), plan.select("source", "budget")).select(F.col("source").alias("_s1"), "threshold")
     plan = plan.join(cut, plan["source"].eqNullSafe(cut["_s1"])).drop("_s1", "budget").withColumnRenamed("source", "_src")
-    out = sized.join(plan, sized["source"].eqNullSafe(plan["_src"]))
+    rows = measured(*keep) if keep else sized  # columns to keep are not written, the sizes are computed again with them
+    out = rows.join(plan, rows["source"].eqNullSafe(plan["_src"]))
     copies = F.col("_whole") + F.when((F.col("h") < F.col("threshold")) & (F.col("_whole") < int(most)), 1).otherwise(0)
     return out.select("doc_id", "source", *keep, "size", "source_size", "target", copies.cast("long").alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))
 

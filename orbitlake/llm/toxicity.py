@@ -175,7 +175,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
     lexicon = mine_lexicon(texts)
     n = len(lexicon)
     keep = tuple(c for c in keep if c != "doc_id")
-    seen = materialize(look(docs, lexicon, text, ("doc_id", *keep)), "toxicity-seen")
+    seen = materialize(look(docs, lexicon, text, ("doc_id",)), "toxicity-seen")
 
     # the vote vectors of the whole corpus; lexicon voters are summed up to bits, so there are at most 2 ** (voters) of them
     bits = F.aggregate("hits", F.lit(0), lambda a, i: a.bitwiseOR(F.pow(F.lit(2), i % LEXICON_VOTERS).cast("int")))
@@ -189,9 +189,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
         vectors = np.array([(*vector(r["code"]), say(r["toxic"])) for r in learned])
         guess = np.array([np.nan if r["toxic"] is None else 0.95 if r["toxic"] else 0.05 for r in learned])
         model = LabelModel(vectors, np.array([r["n"] for r in learned], float), guess)
-        rows = coded.join(F.broadcast(chosen), "doc_id").select("hits", "patterns", "code", "toxic").limit(2 * sample).toPandas()
-        y = model.posterior(np.array([(*vector(c), say(t)) for c, t in zip(rows["code"], rows["toxic"])]))
-        weights = train_linear(_features(list(rows["hits"]), list(rows["patterns"]), n), y)
+        fit = coded.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("hits", "patterns", "code", "toxic").toPandas()  # sample rows at most
+        y = model.posterior(np.array([(*vector(c), say(t)) for c, t in zip(fit["code"], fit["toxic"])]))
+        weights = train_linear(_features(list(fit["hits"]), list(fit["patterns"]), n), y)
     else:
         weights = np.zeros(n + len(PATTERNS) + 3)
         weights[-1] = np.log(max(share, 1e-12) / max(1 - share, 1e-12))
@@ -200,7 +200,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
     for b in range(len(PATTERNS)):
         z = z + F.shiftright("patterns", b).bitwiseAND(1) * F.lit(float(weights[n + b]))
     z = z + F.when(F.size("hits") > 0, float(weights[-3])).otherwise(0.0) + F.least(F.size("hits"), F.lit(10)) / 10 * F.lit(float(weights[-2]))
-    out = seen.withColumn("held_out", held_out()).withColumn("score", 1 / (1 + F.exp(-z)))
+    # columns to keep are not written: the texts are looked at again with them
+    rows = look(docs, lexicon, text, ("doc_id", *keep)) if keep else seen
+    out = rows.withColumn("held_out", held_out()).withColumn("score", 1 / (1 + F.exp(-z)))
     return out.select("doc_id", *keep, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
