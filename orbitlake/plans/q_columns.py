@@ -20,19 +20,18 @@ def rect_sql(x0, y0, x1, y1):
     return f"SELECT id, round({x0}, 6) AS minx, round({y0}, 6) AS miny, round({x1}, 6) AS maxx, round({y1}, 6) AS maxy FROM {POINTS}"
 
 
-C2, C1 = F.col("lon"), F.col("lat")
-query("p1_rect_from_point", rect_sql("lon - 0.005 / cos(radians(lat))", "lat - 0.005", "lon + 0.005 / cos(radians(lat))", "lat + 0.005"))(lambda s, d: rects(points(s, d), geo.rect_around(C2, C1, 0.01)))
-query("p2_square", rect_sql("lon - 0.01", "lat - 0.01", "lon + 0.01", "lat + 0.01"))(lambda s, d: rects(points(s, d), geo.square(C2, C1, 0.02)))
-query("p3_half_width_box", rect_sql("lon - 0.03", "lat - 0.03", "lon + 0.03", "lat + 0.03"))(lambda s, d: rects(points(s, d), geo.box(C2, C1, 0.03)))
-query("p4_buffer_envelope", rect_sql("lon - 0.1", "lat - 0.1", "lon + 0.1", "lat + 0.1"))(lambda s, d: rects(points(s, d), geo.box(C2, C1, 0.1)))
-query("p5_square_cap_bounds", rect_sql("lon - 0.01", "lat - 0.01", "lon + 0.01", "lat + 0.01"))(lambda s, d: rects(points(s, d), geo.box(C2, C1, 0.01)))
+query("p1_rect_from_point", rect_sql("lon - 0.005 / cos(radians(lat))", "lat - 0.005", "lon + 0.005 / cos(radians(lat))", "lat + 0.005"))(lambda s, d: rects(points(s, d), geo.rect_around(F.col("lon"), F.col("lat"), 0.01)))
+query("p2_square", rect_sql("lon - 0.01", "lat - 0.01", "lon + 0.01", "lat + 0.01"))(lambda s, d: rects(points(s, d), geo.square(F.col("lon"), F.col("lat"), 0.02)))
+query("p3_half_width_box", rect_sql("lon - 0.03", "lat - 0.03", "lon + 0.03", "lat + 0.03"))(lambda s, d: rects(points(s, d), geo.box(F.col("lon"), F.col("lat"), 0.03)))
+query("p4_buffer_envelope", rect_sql("lon - 0.1", "lat - 0.1", "lon + 0.1", "lat + 0.1"))(lambda s, d: rects(points(s, d), geo.box(F.col("lon"), F.col("lat"), 0.1)))
+query("p5_square_cap_bounds", rect_sql("lon - 0.01", "lat - 0.01", "lon + 0.01", "lat + 0.01"))(lambda s, d: rects(points(s, d), geo.box(F.col("lon"), F.col("lat"), 0.01)))
 
 
 @query("p6_adjacent_points", f"""SELECT id, round(lon + CASE WHEN contains(dir, 'E') THEN 0.02 WHEN contains(dir, 'W') THEN -0.02 ELSE 0 END, 6) AS lon, round(lat + CASE WHEN contains(dir, 'N') THEN 0.02 WHEN contains(dir, 'S') THEN -0.02 ELSE 0 END, 6) AS lat
 FROM (SELECT *, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][1 + id % 8] AS dir FROM {POINTS})""")
 def p6(spark, sf):
     names = F.array(*[F.lit(x) for x in ("N", "NE", "E", "SE", "S", "SW", "W", "NW")])
-    x, y = geo.adjacent(C2, C1, F.get(names, (F.col("id") % 8).cast("int")), 0.02)
+    x, y = geo.adjacent(F.col("lon"), F.col("lat"), F.get(names, (F.col("id") % 8).cast("int")), 0.02)
     return points(spark, sf).select("id", R(x).alias("lon"), R(y).alias("lat"))
 
 
@@ -41,13 +40,13 @@ query("p7_point_fields", f"SELECT id, lon, lat FROM {POINTS}")(lambda s, d: poin
 
 @query("p8_centroid", f"SELECT id, round(lon + 0.02, 6) AS cx, round(lat + 0.03, 6) AS cy, round(lon + 0.02, 6) AS mx, round(lat + 0.03, 6) AS my FROM {POINTS}")
 def p8(spark, sf):
-    ring = geo.ring_of(geo.rect(C2, C1, C2 + 0.04, C1 + 0.06))
+    ring = geo.ring_of(geo.rect(F.col("lon"), F.col("lat"), F.col("lon") + 0.04, F.col("lat") + 0.06))
     p = points(spark, sf).withColumn("ring", ring)
     # centred first: the shoelace terms of tiny rings far from the origin cancel
     moved = F.transform("ring", lambda q: F.struct((q["x"] - F.col("lon")).alias("x"), (q["y"] - F.col("lat")).alias("y")))
     c = geo.ring_centroid(moved)
     mean = lambda k: spectral.array_mean(F.transform("ring", lambda q: q[k]))
-    return p.withColumn("c", c).select("id", R(F.col("c.x") + C2).alias("cx"), R(F.col("c.y") + C1).alias("cy"), R(mean("x")).alias("mx"), R(mean("y")).alias("my"))
+    return p.withColumn("c", c).select("id", R(F.col("c.x") + F.col("lon")).alias("cx"), R(F.col("c.y") + F.col("lat")).alias("cy"), R(mean("x")).alias("mx"), R(mean("y")).alias("my"))
 
 
 query("p9_total_bounds", f"SELECT min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM {POINTS}")(lambda s, d: points(s, d).agg(F.min("lon").alias("minx"), F.min("lat").alias("miny"), F.max("lon").alias("maxx"), F.max("lat").alias("maxy")))
@@ -56,7 +55,7 @@ query("p9_total_bounds", f"SELECT min(lon) AS minx, min(lat) AS miny, max(lon) A
 @query("p10_h3_cell")
 def p10(spark, sf):
     """H3 index at resolution 15 of each point, in degrees a hundred times as far apart; no SQL twin."""
-    return points(spark, sf).select("id", h3.h3_cell(C1 * 100, C2 * 100).alias("h3"))
+    return points(spark, sf).select("id", h3.h3_cell(F.col("lat") * 100, F.col("lon") * 100).alias("h3"))
 
 
 query("p11_numbered_names", "SELECT c_custkey, 'site_' || row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS name FROM customer")(
@@ -163,9 +162,9 @@ query("m20_bayes", f"SELECT id, round({_b(_b('p * 0.8::DOUBLE', 'id % 2 = 0', 0.
 query("m21_soft_label", f"SELECT id, round((3 * p + 2 * label + 1 * (id % 2)) / 6, 6) AS x FROM {SCORED}")(lambda s, d: scored(s, d).select("id", R(spectral.soft_label((3, 2, 1), F.col("p"), F.col("label"), F.col("id") % 2)).alias("x")))
 query("m22_one_hot", f"SELECT id, (label = 0)::INT AS c0, (label = 3)::INT AS c3, label AS back FROM {VECTORS}")(
     lambda s, d: vectors(s, d).withColumn("h", spectral.one_hot(F.col("label"), 10)).select("id", F.get("h", 0).alias("c0"), F.get("h", 3).alias("c3"), spectral.argmax(F.col("h")).alias("back")))
-query("m23_height", f"SELECT id, lon + lat AS height FROM {POINTS}")(lambda s, d: points(s, d).select("id", (C2 + C1).alias("height")))
+query("m23_height", f"SELECT id, lon + lat AS height FROM {POINTS}")(lambda s, d: points(s, d).select("id", (F.col("lon") + F.col("lat")).alias("height")))
 query("crs_areas", f"""SELECT id, round(6378137.0 * radians(0.01) * (6378137.0 * ln(tan(pi() / 4 + radians(y + 0.01) / 2)) - 6378137.0 * ln(tan(pi() / 4 + radians(y) / 2))), 0) AS m2 FROM (SELECT id, lat * 100 AS y FROM {POINTS})""")(
-    lambda s, d: points(s, d).select("id", R(geo.rect_area(geo.rect(C2 * 100, C1 * 100, C2 * 100 + 0.01, C1 * 100 + 0.01), ellipsoid=False), 0).alias("m2")))
+    lambda s, d: points(s, d).select("id", R(geo.rect_area(geo.rect(F.col("lon") * 100, F.col("lat") * 100, F.col("lon") * 100 + 0.01, F.col("lat") * 100 + 0.01), ellipsoid=False), 0).alias("m2")))
 query("tile_keys", "SELECT o_orderkey, '900:20:10.0:' || (1 + o_orderkey % 60) || ':' || (o_custkey % 40 - 20) || ':' || o_orderkey % 500 AS key, CAST(o_custkey % 40 - 20 AS INT) AS i, 500000 + (o_custkey % 40 - 20) * 9000.0::DOUBLE - 200 AS minx, (o_orderkey % 500) * 9000.0::DOUBLE - 200 AS miny FROM orders")(
     lambda s, d: table(s, d, "orders").withColumn("key", geo.format_tile_key(F.lit(900), F.lit(20), F.lit(10.0), 1 + F.col("o_orderkey") % 60, F.col("o_custkey") % 40 - 20, F.col("o_orderkey") % 500)).withColumn("t", geo.parse_tile_key(F.col("key"))).withColumn("r", geo.tile_extent(F.col("t"))).select("o_orderkey", "key", "t.i", "r.minx", "r.miny"))
 query("string_functions", "SELECT c_custkey, lower(c_mktsegment) AS low, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS cap, replace(c_name, '#', '_') AS rep, string_split(c_name, '#')[2] AS part, starts_with(c_name, 'Customer') AS st, contains(c_name, '00') AS co, rtrim(c_name || '  ') AS rt, printf('%.2f', c_acctbal) AS f2 FROM customer")(
