@@ -87,7 +87,7 @@ def weigh(docs: DataFrame, target: DataFrame, text: str = "text") -> DataFrame:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for a, b in chunks(texts):
                 bucket, of = _buckets(texts[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.bincount(of, minlength=b - a)), pa.array(np.bincount(of, ratio.value[bucket], b - a))], names=["doc_id", "n_grams", "log_weight"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(np.bincount(of, minlength=b - a)), pa.array(np.bincount(of, ratio.value[bucket], b - a).astype(float))], names=["doc_id", "n_grams", "log_weight"])
 
     return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, n_grams bigint, log_weight double")
 
