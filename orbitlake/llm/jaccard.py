@@ -3,7 +3,8 @@
 A document's set is its distinct 5-word shingles. All sets are ordered by one global order: shingles that are not
 frequent by their hash, then the frequent ones by their count. Equal sets form one class. Two sets of Jaccard
 similarity t or more share a token among their first n - ceil(t n) + 1, so classes meet in the groups of those tokens;
-a group whose members all share an earlier token is dropped, since its pairs meet there. Within a group, the members' sets are stored in
+a group with the same members as one of an earlier token is dropped, since its pairs meet there, and a member leaves if its size and a few
+bits a token show that it is like no other. Within a group, the members' sets are stored in
 a path-compressed tree and all members traverse it at once: the overlap up to a node is counted once for all sets
 below it, and a subtree is left as soon as the overlap so far and what remains cannot reach the bound any more.
 """
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import chunks, components, materialize, read, runs_hash, small_batches, texts_words
+from ._common import chunks, components, materialize, mix64, read, runs_hash, small_batches, texts_words
 
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
@@ -184,6 +185,74 @@ def join_group(token: int, sets: list[np.ndarray], weights: np.ndarray, parts: n
     return label, linked
 
 
+def bit_set(keys: np.ndarray) -> bytes:
+    """A set's tokens hashed into 2 to 4 bits a token: the bits that one set has and another lacks are tokens that they do not share."""
+    size = max(64, 1 << int(2 * len(keys) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(mix64(keys) & np.uint64(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
+    """Of the members of a group, those that may be similar to another by their sizes and bits. No similar pair is missed."""
+    out = np.zeros(len(sizes), bool)
+    lengths = np.array([len(b) for b in bits])
+    for length in np.unique(lengths):
+        # sizes of similar sets are within percent / 100, so their bits are as many or twice as many
+        same, twice = np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)
+        at = np.concatenate([same, twice])
+        rows = [np.frombuffer(bits[i], np.uint64) for i in same]
+        rows += [np.bitwise_or.reduce(np.frombuffer(bits[i], np.uint64).reshape(2, -1)) for i in twice]
+        table, n = np.stack(rows), sizes[at]
+        for i in range(len(same)):
+            rest = table[i + 1 :]
+            need = percent * (n[i] + n[i + 1 :])
+            mine = n[i] - np.bitwise_count(table[i] & ~rest).sum(1, dtype=np.int64)
+            other = n[i + 1 :] - np.bitwise_count(rest & ~table[i]).sum(1, dtype=np.int64)
+            hit = np.minimum(mine, other) * (100 + percent) >= need
+            if hit.any():
+                out[at[i]] = True
+                out[at[i + 1 :][hit]] = True
+    return out
+
+
+def _groups(posts: DataFrame) -> DataFrame:
+    """posts: token, node. Those whose token has two nodes or more, with size, and low, high, m1, m2 that tell groups of other members apart."""
+    at = W.partitionBy("token")
+    mark = lambda seed: F.sum(F.shiftright(F.xxhash64("node", F.lit(seed)), 34)).over(at)
+    posts = posts.select("token", "node", F.min("node").over(at).alias("low"), F.max("node").over(at).alias("high"), F.count(F.lit(1)).over(at).alias("size"), mark(1).alias("m1"), mark(2).alias("m2"))
+    return posts.where("low <> high")
+
+
+def _first_of_equal(posts: DataFrame) -> DataFrame:
+    """Of the groups with the same members, that of the first token: token, node, size."""
+    first = posts.groupBy("low", "high", "size", "m1", "m2").agg(F.min("token").alias("token")).select("token")
+    return posts.join(first, "token", "left_semi").select("token", "node", "size").distinct()
+
+
+def _cells(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Deals groups of over GROUP members to cells of two parts each, so that any two members meet; with what sets has of each node. Cells lie together."""
+    cells = posts.withColumn("parts", F.ceil(F.col("size") / GROUP).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+    n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.join(sets, "node").repartition(n, "token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
+
+
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[dict]]]:
+    """The rows of each cell of two members or more."""
+    key, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if (row["token"], row["one"], row["two"]) != key:
+                if len(rows) > 1:
+                    yield key, rows
+                key, rows = (row["token"], row["one"], row["two"]), []
+            rows.append(row)
+    if len(rows) > 1:
+        yield key, rows
+
+
 def frequent_order(docs: DataFrame, text: str) -> Order:
     """Finds the frequent shingles: those in SEEN_FROM texts of one chunk of a few thousand count, their counts are summed over the corpus."""
 
@@ -226,25 +295,26 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
         for batch in batches:
             found = list(shingle_sets([t or "" for t in batch.column(1).to_pylist()], order.value, k))
             nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
-            cols = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(nodes), _lists([s[: prefix_length(len(s), percent)] for s in found])]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "prefix"])
+            cols = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(nodes), _lists([s[: prefix_length(len(s), percent)] for s in found]), pa.array([bit_set(s) for s in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "prefix", "bits"])
 
-    base = materialize(docs.select("doc_id", text).mapInArrow(sets, f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>"), "jaccard-sets")
+    base = materialize(docs.select("doc_id", text).mapInArrow(sets, f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>, bits binary"), "jaccard-sets")
 
     # groups: a token and the classes that have it in their prefix, if there are two at least
-    at = W.partitionBy("token")
-    mark = lambda seed: F.sum(F.shiftright(F.xxhash64("node", F.lit(seed)), 34)).over(at)
-    posts = base.where("n > 0").select("node", F.explode("prefix").alias("token"))
-    posts = posts.select("*", F.min("node").over(at).alias("low"), F.max("node").over(at).alias("high"), F.count(F.lit(1)).over(at).alias("size"), mark(1).alias("m1"), mark(2).alias("m2"))
-    posts = materialize(posts.where("low <> high"), "jaccard-groups")
-    # of the groups with the same members, the one of the first token
-    same = ["low", "high", "size", "m1", "m2"]
-    kept = posts.groupBy(*same).agg(F.min("token").alias("token")).select("token")
-    posts = materialize(posts.join(kept, "token", "left_semi").select("token", "node", "size").distinct(), "jaccard-posts")
+    posts = materialize(_groups(base.where("n > 0").select("node", F.explode("prefix").alias("token"))), "jaccard-groups")
+    classes = base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("weight"))
+
+    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (token, _, _), rows in _by_cell(batches):
+            keep = [r["node"] for r, k in zip(rows, may_link(np.array([r["n"] for r in rows]), [r["bits"] for r in rows], percent)) if k]
+            if keep:
+                yield pa.RecordBatch.from_arrays([pa.array([token] * len(keep), pa.int64()), pa.array(keep, pa.int64())], names=["token", "node"])
+
+    near = _cells(_first_of_equal(posts), classes.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
+    posts = materialize(_first_of_equal(_groups(near)), "jaccard-posts")
 
     # the classes' whole sets, from one document each
-    classes = base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("weight"))
-    wanted = classes.join(posts.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"))
+    wanted = classes.select("node", "doc_id").join(posts.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,32 +324,15 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
 
     texts = docs.select("doc_id", text).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(text)
     full = materialize(texts.mapInArrow(whole, "node bigint, keys binary").dropDuplicates(["node"]), "jaccard-full")
-
-    parts = F.ceil(F.col("size") / GROUP).cast("int")
-    cells = posts.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
-    cells = cells.join(full, "node").join(classes.select("node", "weight"), "node")
-    cells = cells.repartition("token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
+    cells = _cells(posts, full.join(classes.select("node", "weight"), "node"))
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def closed(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
-            nodes = np.array([r[0] for r in rows], np.int64)
-            cross = np.array([r[1] for r in rows]) if key[1] != key[2] else None
-            label, linked = join_group(key[0] + (1 << 63), [np.frombuffer(r[2], np.uint64) for r in rows], np.array([r[3] for r in rows], np.int64), cross, percent)
+        for (token, one, two), rows in _by_cell(batches):
+            nodes = np.array([r["node"] for r in rows], np.int64)
+            cross = np.array([r["part"] for r in rows]) if one != two else None
+            label, linked = join_group(token + (1 << 63), [np.frombuffer(r["keys"], np.uint64) for r in rows], np.array([r["weight"] for r in rows], np.int64), cross, percent)
             keep = (label != np.arange(len(rows))) | (linked > 0)
-            return pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
-
-        key, rows = None, []
-        for batch in batches:
-            for token, node, part, one, two, keys, weight in zip(*(batch.column(c).to_pylist() for c in ("token", "node", "part", "one", "two", "keys", "weight"))):
-                if (token, one, two) != key:
-                    if len(rows) > 1:
-                        yield closed(key, rows)
-                    key, rows = (token, one, two), []
-                rows.append((node, part, keys, weight))
-        if len(rows) > 1:
-            yield closed(key, rows)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
 
     links = materialize(cells.mapInArrow(groups, "a bigint, b bigint, linked bigint"), "jaccard-links")
     roots = components(links.select("a", "b"))
