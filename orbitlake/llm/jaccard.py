@@ -4,7 +4,7 @@ A document's set is its distinct 5-word shingles. All sets are ordered by one gl
 frequent by their hash, then the frequent ones by their count. Equal sets form one class. Two sets of Jaccard
 similarity t or more share a token among their first n - ceil(t n) + 1, so classes meet in the groups of those tokens;
 a group with the same members as one of an earlier token is dropped, since its pairs meet there, and a member leaves if its size and a few
-bits a token show that it is like no other. Within a group, the members' sets are stored in
+bits a token show that it is like no other. Groups that share members become one family; within it (within each group where a family is large), the members' sets are stored in
 a path-compressed tree and all members traverse it at once: the overlap up to a node is counted once for all sets
 below it, and a subtree is left as soon as the overlap so far and what remains cannot reach the bound any more.
 """
@@ -25,9 +25,9 @@ from ._common import chunks, components, materialize, mix64, read, runs_hash, sm
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
 #: The global order knows this many frequent shingles at most; which ones it knows changes the speed, never the result.
-FREQUENT, FREQUENT_FROM, SEEN_FROM = 100_000, 16, 4
-#: Members of a group that meet in one tree; a larger group is dealt to cells of two parts each.
-GROUP = 4096
+FREQUENT, FREQUENT_FROM, SEEN_FROM = 400_000, 8, 3
+#: Members, and tokens in all their sets, that meet in one tree; a larger group is dealt to cells of two parts each.
+GROUP, GROUP_TOKENS = 4096, 4_000_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -156,9 +156,9 @@ class Tree:
                 todo += [(c, who, overlap, before) for c in self.children[i]]
 
 
-def join_group(token: int, sets: list[np.ndarray], weights: np.ndarray, parts: np.ndarray | None = None, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """One group's links: each member's smallest connected member, and the weight of those that it is linked to and has no token before the group's in
-    common with (each pair of the whole join is so in one group). parts: count only pairs of members of different parts."""
+def join_group(token: int | None, sets: list[np.ndarray], weights: np.ndarray, parts: np.ndarray | None = None, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """One group's links: each member's smallest connected member, and the weight of those that it is linked to. token: count only pairs without a token before this one in
+    common (each pair of the whole join is so in one token's group). parts: count only pairs of members of different parts."""
     sizes = np.array([len(s) for s in sets])
     every, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     # what one member alone has cannot overlap; the rest goes by falling count, so that paths are shared
@@ -167,7 +167,8 @@ def join_group(token: int, sets: list[np.ndarray], weights: np.ndarray, parts: n
     rank[by_count] = np.arange(len(every))
     vocabulary = int((counts > 1).sum())
     early = np.zeros(max(1, vocabulary), bool)
-    early[rank[(every < np.uint64(token)) & (counts > 1)]] = True
+    if token is not None:
+        early[rank[(every < np.uint64(token)) & (counts > 1)]] = True
     ends = np.cumsum(sizes)
     ranked = [(r := rank[inverse[e - n : e]])[r < vocabulary] for e, n in zip(ends, sizes)]
     for r in ranked:
@@ -186,8 +187,8 @@ def join_group(token: int, sets: list[np.ndarray], weights: np.ndarray, parts: n
 
 
 def bit_set(keys: np.ndarray) -> bytes:
-    """A set's tokens hashed into 2 to 4 bits a token: the bits that one set has and another lacks are tokens that they do not share."""
-    size = max(64, 1 << int(2 * len(keys) - 1).bit_length())
+    """A set's tokens hashed into 1 to 2 bits a token: the bits that one set has and another lacks are tokens that they do not share."""
+    size = max(64, 1 << int(len(keys) - 1).bit_length())
     bits = np.zeros(size, bool)
     bits[(mix64(keys) & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -232,22 +233,24 @@ def _first_of_equal(posts: DataFrame) -> DataFrame:
 
 def _cells(posts: DataFrame, sets: DataFrame) -> DataFrame:
     """Deals groups of over GROUP members to cells of two parts each, so that any two members meet; with what sets has of each node. Cells lie together."""
+    posts = posts if "by_token" in posts.columns else posts.withColumn("by_token", F.lit(True))
     cells = posts.withColumn("parts", F.ceil(F.col("size") / GROUP).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+    cells = cells.select("by_token", "token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
     n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.join(sets, "node").repartition(n, "token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
+    return cells.join(sets, "node").repartition(n, "by_token", "token", "one", "two").sortWithinPartitions("by_token", "token", "one", "two", "node")
 
 
-def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[dict]]]:
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[bool, int, int, int], list[dict]]]:
     """The rows of each cell of two members or more."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            if (row["token"], row["one"], row["two"]) != key:
+            at = (row["by_token"], row["token"], row["one"], row["two"])
+            if at != key:
                 if len(rows) > 1:
                     yield key, rows
-                key, rows = (row["token"], row["one"], row["two"]), []
+                key, rows = at, []
             rows.append(row)
     if len(rows) > 1:
         yield key, rows
@@ -258,6 +261,7 @@ def frequent_order(docs: DataFrame, text: str) -> Order:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        own: set[int] = set()
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -266,11 +270,14 @@ def frequent_order(docs: DataFrame, text: str) -> Order:
 
         for batch in batches:
             for s in shingle_sets([t or "" for t in batch.column(0).to_pylist()]):
+                if (node := _node(s)) in own:  # equal sets are one class
+                    continue
+                own.add(node)
                 held.append(s)
                 size += len(s)
                 if size > 2_000_000:
                     yield flush()
-                    held, size = [], 0
+                    held, own, size = [], set(), 0
         if held:
             yield flush()
 
@@ -305,13 +312,22 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     classes = base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("weight"))
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (token, _, _), rows in _by_cell(batches):
+        for (_, token, _, _), rows in _by_cell(batches):
             keep = [r["node"] for r, k in zip(rows, may_link(np.array([r["n"] for r in rows]), [r["bits"] for r in rows], percent)) if k]
             if keep:
                 yield pa.RecordBatch.from_arrays([pa.array([token] * len(keep), pa.int64()), pa.array(keep, pa.int64())], names=["token", "node"])
 
     near = _cells(_first_of_equal(posts), classes.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
-    posts = materialize(_first_of_equal(_groups(near)), "jaccard-posts")
+    near = materialize(_groups(near), "jaccard-near")
+    # what is left hangs together in small families, each of which meets in one tree; the groups of a large one meet by token
+    family = components(near.select(F.col("node").alias("a"), F.col("low").alias("b")), "jaccard-families").withColumnRenamed("root", "family")
+    family = materialize(family.join(classes.select("node", "n"), "node"), "jaccard-families")
+    extent = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+    large = (F.col("members") > GROUP) | (F.col("tokens") > GROUP_TOKENS)
+    family = family.join(extent, "family").select("node", "family", large.alias("large"))
+    one_tree = family.where("not large").select(F.lit(False).alias("by_token"), F.col("family").alias("token"), "node", F.lit(1).cast("long").alias("size"))
+    by_token = _first_of_equal(near.join(family.where("large").select("node"), "node", "left_semi")).select(F.lit(True).alias("by_token"), "token", "node", "size")
+    posts = materialize(one_tree.unionByName(by_token), "jaccard-posts")
 
     # the classes' whole sets, from one document each
     wanted = classes.select("node", "doc_id").join(posts.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"))
@@ -327,10 +343,10 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     cells = _cells(posts, full.join(classes.select("node", "weight"), "node"))
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (token, one, two), rows in _by_cell(batches):
+        for (by_token, token, one, two), rows in _by_cell(batches):
             nodes = np.array([r["node"] for r in rows], np.int64)
             cross = np.array([r["part"] for r in rows]) if one != two else None
-            label, linked = join_group(token + (1 << 63), [np.frombuffer(r["keys"], np.uint64) for r in rows], np.array([r["weight"] for r in rows], np.int64), cross, percent)
+            label, linked = join_group(token + (1 << 63) if by_token else None, [np.frombuffer(r["keys"], np.uint64) for r in rows], np.array([r["weight"] for r in rows], np.int64), cross, percent)
             keep = (label != np.arange(len(rows))) | (linked > 0)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
 
