@@ -364,3 +364,15 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
 
 def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar(read(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.b FROM reach r JOIN e ON r.y = e.a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(y) FROM reach WHERE x = w.doc_id) AS component_id, (SELECT count(*) FROM e WHERE e.a = w.doc_id) AS n_links FROM w LEFT JOIN n USING (doc_id)
+"""

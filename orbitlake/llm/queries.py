@@ -14,4 +14,4 @@ QUERIES = {
     "op9_jaccard": jaccard.op9_jaccard,
     "op10_substrings": substrings.op10_substrings,
 }
-ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE}
+ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE, "op9_jaccard": jaccard.ORACLE, "op10_substrings": substrings.ORACLE}

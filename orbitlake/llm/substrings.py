@@ -235,3 +235,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, text: str = "text", wi
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+ORACLE = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + {WINDOW - 1}], ' ') AS k FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {WINDOW - 1})) AS i FROM w)),
+again AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM g) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM again, range(0, {WINDOW}) t(j)),
+x AS (SELECT doc_id, p, w[p] AS x FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS p FROM w)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS s FROM x ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
