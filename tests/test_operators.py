@@ -154,6 +154,17 @@ def test_areas_centroids_and_tiles(spark):
     assert len(corners) == 4 and 13 < corners[0].x < 16 and 35 < corners[0].y < 37
 
 
+def test_utm_round_trip_and_tile_cover(spark):
+    df = frame(spark, [(14.35, 35.8, 33), (-70.2, -12.5, 19), (3.0, 0.0, 31)], "lon double, lat double, z int")
+    e, n = geo.lonlat_to_utm(F.col("lon"), F.col("lat"), F.col("z"))
+    for r in df.withColumn("e", e).withColumn("n", n).select("*", *[c.alias(k) for k, c in zip(("x", "y"), geo.utm_to_lonlat(F.col("e"), F.col("n"), F.col("z")))]).collect():
+        assert abs(r.x - r.lon) < 1e-8 and abs(r.y - r.lat) < 1e-8
+    box = geo.rect(F.lit(14.30), F.lit(35.79), F.lit(14.50), F.lit(35.99))
+    keys = spark.range(1).select(F.explode(geo.tile_cover(box, 900, 20, 10.0)).alias("key"))
+    inside = keys.withColumn("ring", geo.tile_corners(F.col("key"))).where(geo.point_in_ring(F.col("ring"), F.lit(14.4), F.lit(35.9)))
+    assert inside.count() >= 1 and all(k.key.startswith("900:20:10.0:33:") for k in keys.collect())
+
+
 def test_report_supports_sum(spark):
     df = frame(spark, [(1, 0.9), (1, 0.5), (0, 0.5), (0, 0.1), (0, 0.95), (1, 0.2), (0, 0.4), (1, 0.6)], "label int, p double")
     rep = {r["class"]: r for r in scoring.classification_report(df, 0.5).collect()}
