@@ -122,8 +122,8 @@ def texts_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray
     return h, np.concatenate(([0], np.searchsorted(start, np.cumsum(sizes))))
 
 
-def chunks(texts: list, limit: int = 8 << 20):
-    """Index ranges of texts of about limit bytes each; a longer text stands alone."""
+def chunks(texts: list, limit: int = 2 << 20):
+    """Index ranges of texts of about limit bytes each; a longer text stands alone. Hashing takes some forty bytes a byte of text."""
     begin = size = 0
     for i, t in enumerate(texts):
         if size and size + len(t) > limit:

@@ -126,6 +126,7 @@ class Tree:
     def traverse(self, vocabulary: int, early: np.ndarray, percent: int, block: int = 512) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
         """Per block of probes and set: the probes (numbers of sets) that are similar to it, the set, and which of these pairs share no early token."""
         order, sizes = np.array(self.order), self.sizes
+        block = max(8, min(block, (32 << 20) // vocabulary))  # the matrix of probes and tokens takes 32 MB or so
         lengths = np.array([len(s) for s in self.sets])
         for begin in range(0, len(order), block):
             probes = order[begin : begin + block]
@@ -162,7 +163,7 @@ def join_group(token: int | None, sets: list[np.ndarray], weights: np.ndarray, p
     sizes = np.array([len(s) for s in sets])
     every, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     # what one member alone has cannot overlap; the rest goes by falling count, so that paths are shared
-    rank = np.empty(len(every), np.int64)
+    rank = np.empty(len(every), np.int32)
     by_count = np.lexsort((every, -counts))
     rank[by_count] = np.arange(len(every))
     vocabulary = int((counts > 1).sum())
@@ -171,6 +172,7 @@ def join_group(token: int | None, sets: list[np.ndarray], weights: np.ndarray, p
         early[rank[(every < np.uint64(token)) & (counts > 1)]] = True
     ends = np.cumsum(sizes)
     ranked = [(r := rank[inverse[e - n : e]])[r < vocabulary] for e, n in zip(ends, sizes)]
+    del every, inverse, rank, by_count
     for r in ranked:
         r.sort()
     label, linked = np.arange(len(sets)), np.zeros(len(sets), np.int64)
