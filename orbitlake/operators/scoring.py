@@ -101,3 +101,42 @@ def weak_labels(df: DataFrame, vote: Column, disagreement: Column, pixel: Column
     from ..functions.spectral import bayes_update, vote_prior
 
     return df.withColumn("soft_label", bayes_update(bayes_update(vote_prior(vote, disagreement), pixel, 0.83, 0.89), svm, 0.78, 0.90))
+
+
+#: Vectors of a block in best_match.
+BLOCK = 2048
+
+
+def best_match(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
+    """key, best: each key's largest cosine similarity to a vector of another key in its group. Blocks of vectors meet in pairs, so any number of executors shares
+    a large group. Null keys, groups and vectors take no part; vectors meet those of their own length; one without a norm has no similarity, and best is NULL
+    where no other has one."""
+    v = F.transform(F.col(vector), lambda x: x.cast("double"))
+    rows = df.select(F.col(key).alias("_key"), v.alias("_v"), F.col(group).alias("_group")).where(F.col("_key").isNotNull() & F.col("_group").isNotNull() & F.forall("_v", lambda x: x.isNotNull()))
+    rows = rows.withColumn("_size", F.size("_v"))
+    groups = rows.groupBy("_group", "_size").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    dealt = rows.join(groups, ["_group", "_size"]).withColumn("_block", F.pmod(F.xxhash64("_key"), F.col("_blocks")).cast("int"))
+    blocks = dealt.groupBy("_group", "_size", "_block").agg(F.collect_list(F.struct("_key", "_v")).alias("_m"))
+    blocks = blocks.select("_group", "_size", "_block", F.col("_m._key").alias("_keys"), F.flatten("_m._v").alias("_x"))
+    other = blocks.select("_group", "_size", F.col("_block").alias("_block2"), F.col("_keys").alias("_keys2"), F.col("_x").alias("_x2"))
+    pairs = blocks.join(other, ["_group", "_size"]).repartition("_group", "_size", "_block", "_block2")
+    kind = df.schema[key].dataType.simpleString()
+
+    def unit(x, n: int) -> np.ndarray:
+        x = np.asarray(x, float).reshape(n, -1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def run(keys: pd.Series, x: pd.Series, keys2: pd.Series, x2: pd.Series) -> pd.Series:
+        out = []
+        for a, xa, b, xb in zip(keys, x, keys2, x2):
+            s = unit(xa, len(a)) @ unit(xb, len(b)).T
+            s[np.isnan(s) | (np.asarray(a)[:, None] == np.asarray(b)[None, :])] = -np.inf
+            best = s.max(axis=1)
+            out.append([{"key": k, "best": None if v == -np.inf else float(v)} for k, v in zip(a, best) if (np.asarray(b) != k).any()])
+        return pd.Series(out)
+
+    run.__annotations__ = {k: pd.Series for k in ("keys", "x", "keys2", "x2", "return")}
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds two blocks
+    found = pairs.select(F.explode(F.pandas_udf(run, f"array<struct<key:{kind},best:double>>")("_keys", "_x", "_keys2", "_x2")).alias("m"))
+    return found.groupBy(F.col("m.key").alias(key)).agg(F.max("m.best").alias("best"))

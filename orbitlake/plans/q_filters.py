@@ -81,6 +81,8 @@ query("f29_area_gate", f"SELECT id, count(*) AS n FROM {RASTERS} WHERE v > 0.05
 query("o1_sort", "SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal, c_custkey")(lambda s, d: table(s, d, "customer").select("c_custkey", "c_acctbal").orderBy("c_acctbal", "c_custkey"))
 query("o2_second_best", "SELECT a.vec_id, round(max(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS best FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE a.vec_id < 20 GROUP BY 1")(
     lambda s, d: (lambda e: e.where("vec_id < 20").join(e.select(F.col("vec_id").alias("o"), F.col("embedding").alias("oe"), "label"), "label").where("vec_id <> o").groupBy("vec_id").agg(R(F.max(spectral.cosine(F.col("embedding"), F.col("oe")))).alias("best")))(table(s, d, "embeddings")))
+query("o2_second_best_all", "SELECT a.vec_id, round(max(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS best FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id GROUP BY 1")(
+    lambda s, d: S.best_match(table(s, d, "embeddings"), "vec_id", "embedding", "label").withColumn("best", R("best")))
 query("o3_slices", "SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer) WHERE i >= 3 AND i % 4 = 0")(
     lambda s, d: table(s, d, "customer").withColumn("i", F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).where("i >= 3 and i % 4 = 0").select("c_nationkey", "c_custkey"))
 

@@ -19,3 +19,14 @@ def test_fixpoint_takes_every_site(spark, tmp_path):
             x = x[~out]
         want[s] = len(x)
     assert {r.site: r.n for r in QUERIES["w7_sem_fixpoint"](spark, str(tmp_path)).collect()} == want and set(want.values()) == {39}
+
+
+def test_every_vector_has_its_second_best(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 8)).astype(np.float32)
+    label = np.arange(90) % 3
+    pd.DataFrame({"vec_id": np.arange(90), "embedding": list(x), "label": label}).to_parquet(tmp_path / "embeddings.parquet")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    s = np.where((label[:, None] == label) & ~np.eye(90, dtype=bool), u @ u.T, -1)
+    got = {r.vec_id: r.best for r in QUERIES["o2_second_best_all"](spark, str(tmp_path)).collect()}
+    assert len(got) == 90 and np.allclose([got[i] for i in range(90)], s.max(1), atol=1e-6)
