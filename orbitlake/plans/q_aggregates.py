@@ -23,8 +23,8 @@ def seen(spark, sf):
     return C.windows(px, "1995-01-01", "1997-01-01", 3)
 
 
-def composite_sql(agg: str) -> str:
-    return f"SELECT tile_id, band, window_start, round({agg}(CASE WHEN valid THEN v END), 4) AS v FROM {SEEN} GROUP BY ALL"
+def composite_sql(agg: str, seen: str = SEEN) -> str:
+    return f"SELECT tile_id, band, window_start, round({agg}(CASE WHEN valid THEN v END), 4) AS v FROM {seen} GROUP BY ALL"
 
 
 for _name, _method, _sql in (("a1_median_composite", "median", "median"), ("a2_min_composite", "min", "min"), ("a5_mean_composite", "mean", "avg")):
@@ -219,7 +219,11 @@ r AS (SELECT tile_id, coalesce(round((nir - red) / nullif(nir + red, 0), 4), 0)
 SELECT tile_id, {STATS.format(v='p')}, count(p) AS count FROM r GROUP BY tile_id""")
 def slice1(spark, sf):
     """Mask, quarterly minimum composites, normalise, ratio, statistics a site."""
-    c = C.composite(seen(spark, sf), KEYS, "min")
+    return ratio_stats(C.composite(seen(spark, sf), KEYS, "min"))
+
+
+def ratio_stats(c):
+    """Normalise, ratio, statistics a site of composites."""
     band = lambda b: spectral.normalize(F.max(F.when(F.col("band") == b, F.col("v"))))
     p = c.groupBy("tile_id", "window_start").agg(band("NO").alias("nir"), band("AF").alias("red")).where("nir is not null and red is not null")
     ratio = p.withColumn("p", spectral.normalized_difference(F.col("nir"), F.col("red"), 0))

@@ -1,4 +1,4 @@
 """All registered queries: importing this module fills the registry."""
 
-from . import q_aggregates, q_columns, q_filters, q_joins, q_rasters, q_windows  # noqa: F401
+from . import q_aggregates, q_columns, q_filters, q_history, q_joins, q_rasters, q_windows  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

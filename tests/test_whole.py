@@ -30,3 +30,20 @@ def test_every_vector_has_its_second_best(spark, tmp_path):
     s = np.where((label[:, None] == label) & ~np.eye(90, dtype=bool), u @ u.T, -1)
     got = {r.vec_id: r.best for r in QUERIES["o2_second_best_all"](spark, str(tmp_path)).collect()}
     assert len(got) == 90 and np.allclose([got[i] for i in range(90)], s.max(1), atol=1e-6)
+
+
+def test_entry_and_composites_reach_the_last_date(spark, sf, tmp_path):
+    import __spark_entry__ as entry
+
+    li = pd.read_parquet(f"{sf}/lineitem.parquet")
+    ok = li[li.l_discount <= 0.05]
+    day, band = pd.to_datetime(ok.l_shipdate), ok.l_returnflag + ok.l_linestatus
+    quarter = (day.dt.year - 1995) * 4 + (day.dt.month - 1) // 3
+    both = day.dt.is_quarter_start & (quarter > 0)  # a boundary date lies in two windows
+    at = pd.concat([pd.DataFrame({"t": ok.l_suppkey, "b": band, "q": quarter}), pd.DataFrame({"t": ok.l_suppkey, "b": band, "q": quarter - 1})[both]])
+    has = lambda b: set(map(tuple, at[at.b == b][["t", "q"]].drop_duplicates().itertuples(index=False)))
+    assert sum(r["count"] for r in entry.entry(spark).collect()) == len(has("NO") & has("AF"))
+    for name in ("t1_tumbling_inclusive_all", "t2_whole_batches_all", "t4_sliding_all", "t5_monthly_history_all"):
+        assert QUERIES[name](spark, sf).agg({"window_start": "max"}).first()[0].year == 2001
+    pd.DataFrame({"l_suppkey": [1, 1], "l_orderkey": [1, 2], "l_shipdate": pd.to_datetime(["1980-05-17", "2031-02-03"]), "l_returnflag": "N", "l_linestatus": "O", "l_extendedprice": [5.0, 7.0], "l_discount": 0.0}).to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    assert [str(r.window_start) for r in QUERIES["a2_min_composite_all"](spark, str(tmp_path)).orderBy("window_start").collect()] == ["1980-05-01", "2031-02-01"]
