@@ -44,7 +44,7 @@ def _lift(x: np.ndarray, norm: float) -> np.ndarray:
 
 
 def build_block(ids: np.ndarray, x: np.ndarray, norm: float, a: np.ndarray, k: int) -> tuple[bytes, ...]:
-    """ids and vectors (float64) of a block: distinct vectors, the k + 1 smallest ids of each (no more can be among k nearest), sorted projections."""
+    """ids and vectors (float64) of a block, each pair once: distinct vectors, the k + 1 smallest ids of each (no more can be among k nearest), sorted projections."""
     distinct, inverse = np.unique(x, axis=0, return_inverse=True)
     order = np.lexsort((ids, inverse.ravel()))
     group = inverse.ravel()[order]
@@ -110,7 +110,7 @@ class Index:
                     cols = build_block(ids[part : part + (1 << 15)], x[part : part + (1 << 15)], norm, a, k)
                     yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "distinct", "ids", "groups", "sorted", "places"])
 
-        dealt = self.valid.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(self.n_blocks)).cast("int")).repartition(self.n_blocks, "block").select("block", "vec_id", "v")
+        dealt = self.valid.distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(self.n_blocks)).cast("int")).repartition(self.n_blocks, "block").select("block", "vec_id", "v")
         self.blocks = materialize(dealt.mapInArrow(build, "block int, distinct binary, ids binary, groups binary, sorted binary, places binary"), "ann-index")
 
     def search(self, queries: DataFrame) -> DataFrame:
@@ -138,17 +138,25 @@ class Index:
                     out: list[list[np.ndarray]] = [[], [], []]
                     for q, own, hits in zip(x, query_ids, search_block(x, distinct, values, places, norm, a, k)):
                         score = (distinct[hits] * q).sum(1)
-                        # the best k + 1 distinct vectors, and all that tie with the last, hold the k nearest
-                        if len(hits) > k + 1:
-                            best = score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
-                            hits, score = hits[best], score[best]
-                        size = begin[hits + 1] - begin[hits]
-                        member = np.concatenate([ids[begin[h] : begin[h + 1]] for h in hits]) if len(hits) else ids[:0]
-                        score = np.repeat(score, size)
-                        other = member != own
-                        member, score = member[other], score[other]
-                        top = np.lexsort((member, -score))[:k]
-                        for o, c in zip(out, (np.full(len(top), own), member[top], score[top])):
+                        # the best distinct vectors and all that tie with the last; more of them, while own and repeated (id, score) leave fewer than k
+                        need = k + 1
+                        while True:
+                            some, value = hits, score
+                            if len(hits) > need:
+                                best = score >= np.partition(score, len(score) - need)[len(score) - need]
+                                some, value = hits[best], score[best]
+                            member = np.concatenate([ids[begin[h] : begin[h + 1]] for h in some]) if len(some) else ids[:0]
+                            value = np.repeat(value, begin[some + 1] - begin[some])
+                            member, value = member[member != own], value[member != own]
+                            top = np.lexsort((member, -value))
+                            fresh = np.ones(len(top), bool)
+                            fresh[1:] = (member[top][1:] != member[top][:-1]) | (value[top][1:] != value[top][:-1])
+                            top = top[fresh][:k]
+                            if len(top) == k or len(some) == len(hits):
+                                break
+                            need *= 2
+                        member, score = member[top], value[top]
+                        for o, c in zip(out, (np.full(len(top), own), member, score)):
                             o.append(c)
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["query_id", "vec_id", "score"])
 
