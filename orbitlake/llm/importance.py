@@ -19,8 +19,6 @@ from ._common import chunks, materialize, mix64, read, runs_hash, small_batches,
 
 #: Buckets that words and word pairs are hashed to, together.
 BUCKETS = 16_384
-#: Labelled target rows that the target model is fitted on at most (the smallest hashes of the id); all text is counted whole.
-TARGET_ROWS = 20_000
 #: Share of all rows that is sampled.
 SHARE = 0.85
 _LEVELS = (52, 40, 28, 16, 4, 0)
@@ -107,7 +105,7 @@ def resample(docs: DataFrame, target: DataFrame, share: float = SHARE, seed: int
 
 
 def op7_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Target: documents labelled as good."""
+    """Target: all documents labelled as good."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_ROWS)
-    return resample(docs, docs.join(F.broadcast(good), "doc_id", "left_semi").select("text"))
+    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    return resample(docs, docs.join(good.hint("merge"), "doc_id", "left_semi").select("text"))
