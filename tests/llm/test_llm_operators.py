@@ -396,9 +396,11 @@ def removed(docs, window=20):
     return out
 
 
-@pytest.mark.parametrize("rows", [1_000_000, 20])
-def test_substrings_equal_brute_force(spark, docs_of, corpus, monkeypatch, rows):
+@pytest.mark.parametrize("rows, tree", [(1_000_000, 1_000_000), (20, 50), (2, 10)])
+def test_substrings_equal_brute_force(spark, docs_of, corpus, monkeypatch, rows, tree):
+    """Groups as they are, and split by prefixes of 8, 14 and 20 words and by document."""
     monkeypatch.setattr(substrings, "GROUP_ROWS", rows)
+    monkeypatch.setattr(substrings, "TREE_ROWS", tree)
     rng = random.Random(8)
     passage = [f"p{i}" for i in range(55)]
     texts = []
@@ -409,7 +411,16 @@ def test_substrings_equal_brute_force(spark, docs_of, corpus, monkeypatch, rows)
             t[len(t) // 2 : 0] = passage[a : a + rng.choice([19, 20, 25])]
         texts.append(" ".join(t))
     texts += ["ab cd " * 40, "ab cd " * 40, "z " * 70, None, "", texts[0]]
+    long = [f"l{i}" for i in range(900)]
+    for n in (20, 33, 64, 150, 500):  # long repeats, whole, cut off and changed in one word
+        a = rng.randrange(400)
+        piece = long[a : a + n]
+        texts += [" ".join([f"u{n}", *piece]), " ".join([*piece, f"v{n}", *piece[:-1]]), " ".join(piece[: n // 2] + ["changed"] + piece[n // 2 + 1 :])]
+    texts += [" ".join(passage[:8] + [f"e{i % 3}"] * 6 + passage[14 : 20 + i % 4]) for i in range(12)]  # one prefix of 8 words, three of 14
     df = docs_of(texts)
+    if rows == 2:  # suffixes leave their segments and groups at each length of the prefix
+        kinds = substrings._grouped(substrings.materialize(substrings.suffixes(df, "text", 20), "test"))
+        assert kinds.where("salted").count() and kinds.where("kind = 0").count() and kinds.where("kind = 1 and not salted").select("group").distinct().count() > 3
     want = removed([(r.doc_id, r.text) for r in sorted(df.collect(), key=lambda r: r.doc_id)])
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.remove_repeats(df).collect()} == want
     want = removed([(r.doc_id, r.text) for r in sorted(corpus.collect(), key=lambda r: r.doc_id)])
@@ -423,6 +434,40 @@ def test_substrings_on_odd_rows_and_spans(odd, corpus, docs_of):
     p = " ".join(f"p{i}" for i in range(50))
     spans = substrings.maximal_repeats(docs_of([f"a b {p}", f"c {p} d"])).collect()
     assert [(r.doc_id, r.start, r.length, r.first_id, r.first_start) for r in spans] == [(1, 1, 50, 0, 2)]
+    # null and repeated ids: rows of one id lose their own windows; the null id is the last document
+    a, b, other = p, " ".join(f"q{i}" for i in range(30)), "x " * 5
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed) for r in substrings.remove_repeats(docs_of([a, a, b, f"{other}{b}", a, None], ids=[1, 1, 1, 2, None, None])).collect()))
+    assert got == [(False, 1, 30, 0), (False, 1, 50, 0), (False, 1, 50, 0), (False, 2, 35, 30), (True, 0, 0, 0), (True, 0, 50, 50)]
+
+
+def test_words_of_one_hash_are_told_apart():
+    data = b"aa b aa cc b"
+    start, end = np.array([0, 3, 5, 8, 11]), np.array([2, 4, 7, 10, 12])
+    for h in ([1, 2, 1, 3, 2], [1, 1, 1, 1, 1], [1, 2, 1, 1, 2]):
+        ids = substrings.exact_ids(data, np.array(h, np.uint64), start, end)
+        assert len(set(ids)) == 3 and ids[0] == ids[2] and ids[1] == ids[4]
+
+
+def test_the_trees_nodes_are_the_longest_earlier_repeats():
+    rng = random.Random(4)
+    for _ in range(20):
+        docs = [[rng.choice("abc") for _ in range(rng.randrange(20, 70))] for _ in range(6)]
+        blobs = [" ".join(d).encode() for d in docs]
+        count = np.array([len(d) - 19 for d in docs])
+        tree = substrings.suffix_trees(blobs, np.arange(6), np.zeros(6, np.int64), count, 20)
+        best = {}
+        for k, d in enumerate(docs):
+            for i in range(count[k]):
+                for e in range(k + 1):
+                    for j in range(count[e] if e < k else i):
+                        n = next((x for x in range(32) if i + x >= len(d) or j + x >= len(docs[e]) or d[i + x] != docs[e][j + x]), 32)
+                        if n >= 20:
+                            best[k, i] = max(best.get((k, i), 0), n)
+        got = {(s, a): n for s, a, n in zip(tree.segment, tree.start, tree.length)}
+        assert all(best[x] == n for x, n in got.items())
+        assert all(any(k == s and a <= i and i + n <= a + m for (s, a), m in got.items()) for (k, i), n in best.items())
+
+
 
 
 # --- shared parts ------------------------------------------------------------------------------------------------------------------
