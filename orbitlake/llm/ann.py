@@ -1,13 +1,13 @@
 """Largest inner products by collision counting on query-aware hashes.
 
 Each hash is one projection; a block of vectors keeps the sorted values of each. A query opens a window centred on its
-own projection in every sorted array; a vector in the window collides. Windows grow by a constant ratio (virtual
-rehashing: no other index is needed for a larger radius), and only the rings that are new are counted. A vector
-whose collisions reach the threshold is verified with the exact inner product; a query rests in a block once enough
-vectors are verified. Inner products become distances by one more coordinate that gives all vectors the same norm.
+own projection in every sorted array; a vector in the window collides. Windows grow or shrink by a constant ratio (virtual
+rehashing: no other index is needed for another radius), and only the rings between two radii are counted. The smallest
+radius at which CANDIDATES vectors reach the threshold of collisions decides: those of them with the most collisions are
+verified with the exact inner product. Inner products become distances by one more coordinate that gives all vectors the same norm.
 
-Blocks are independent and of fixed size: any number of executors builds and searches them, and a stated query set
-meets them in blocks of its own.
+Blocks are independent and of fixed size: any number of executors builds and searches them. Each block is moved to its
+task once; a stated query set comes to it in parts.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 from ._common import materialize, read, small_batches
 
 #: Projections, collisions that make a candidate (share of them), first radius (in norms), growth of the radius.
-PROJECTIONS, THRESHOLD, RADIUS, RATIO = 64, 0.75, 1.0, 1.08
-#: A query rests in a block when this share of its distinct vectors, and this many, are candidates.
-SHARE, LEAST = 0.1, 400
-#: Vectors of a block, queries of a block.
-BLOCK, QUERY_BLOCK = 8192, 512
+PROJECTIONS, THRESHOLD, RADIUS, RATIO = 160, 0.85, 1.5, 1.15
+#: Vectors that a query verifies in a block, whatever the block holds; more where the last ones have equally many collisions.
+CANDIDATES = 128
+#: Vectors of a block, queries of a part.
+BLOCK, QUERY_PART = 8192, 8192
 
 
 def projections(dim: int, n: int, seed: int = 7) -> np.ndarray:
@@ -43,48 +43,79 @@ def _lift(x: np.ndarray, norm: float) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(0.0, norm * norm - (x * x).sum(1, keepdims=True)))])
 
 
-def build_block(ids: np.ndarray, x: np.ndarray, norm: float, a: np.ndarray, k: int) -> tuple[bytes, ...]:
-    """ids and vectors (float64) of a block, each pair once: distinct vectors, the k + 1 smallest ids of each (no more can be among k nearest), sorted projections."""
+def build_block(ids: np.ndarray, x: np.ndarray, scale: float, norm: float, a: np.ndarray, k: int) -> tuple[bytes, ...]:
+    """ids and vectors (float64) of a block, each pair once: distinct vectors (float32 where that loses nothing), the k + 1 smallest ids of each (no more can be among k
+    nearest), sorted projections. scale: the largest component of the table, norm: the largest norm in that scale."""
     distinct, inverse = np.unique(x, axis=0, return_inverse=True)
     order = np.lexsort((ids, inverse.ravel()))
     group = inverse.ravel()[order]
     start = np.searchsorted(group, np.arange(len(distinct)))
     keep = np.arange(len(order)) - start[group] <= k
-    values = (_lift(distinct, norm) @ a.T).T
+    values = (_lift(distinct / scale, norm) @ a.T).T.astype(np.float32)
     by_value = np.argsort(values, axis=1, kind="stable")
-    return distinct.tobytes(), ids[order][keep].tobytes(), group[keep].astype(np.int32).tobytes(), np.take_along_axis(values, by_value, 1).tobytes(), by_value.astype(np.uint16).tobytes()
+    with np.errstate(over="ignore"):
+        short = distinct.astype(np.float32)
+    kept = short if (short == distinct).all() else distinct
+    return kept.tobytes(), ids[order][keep].tobytes(), group[keep].astype(np.int32).tobytes(), np.take_along_axis(values, by_value, 1).tobytes(), by_value.astype(np.uint16).tobytes()
 
 
-def search_block(queries: np.ndarray, distinct: np.ndarray, values: np.ndarray, order: np.ndarray, norm: float, a: np.ndarray, k: int) -> Iterator[np.ndarray]:
-    """Candidates (places in distinct) of each query, in turn."""
-    n, m = len(distinct), len(a)
-    enough, misses = min(n, max(LEAST, int(SHARE * n)) + k), m - int(np.ceil(THRESHOLD * m))
-    at = np.hstack([queries * (norm / np.linalg.norm(queries, axis=1, keepdims=True)), np.zeros((len(queries), 1))]) @ a.T
-    outside = np.empty((len(queries), n), np.int16)
-    radius, active = RADIUS * norm, np.arange(len(queries))
-    low = high = None
-    found: list = [None] * len(queries)
-    while len(active):
+def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndarray, norm: float, a: np.ndarray, enough: int) -> list[np.ndarray]:
+    """Candidates (places among the n distinct vectors) of each query: those of the smallest radius that has enough of them, or all."""
+    m, misses = len(a), len(a) - int(np.ceil(THRESHOLD * len(a)))
+    if n <= enough:
+        return [np.arange(n)] * len(queries)
+    queries = queries / np.abs(queries).max(axis=1, keepdims=True)
+    at = (np.hstack([queries * (norm / np.linalg.norm(queries, axis=1, keepdims=True)), np.zeros((len(queries), 1))]) @ a.T).astype(np.float32)
+
+    def edges(active: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
         lo, hi = np.empty((m, len(active)), np.int64), np.empty((m, len(active)), np.int64)
         for i in range(m):
             lo[i] = np.searchsorted(values[i], at[active, i] - radius, "left")
             hi[i] = np.searchsorted(values[i], at[active, i] + radius, "right")
-        rest = []
-        for j, q in enumerate(active):
-            if low is None:  # what is outside is counted, it is less
-                parts = [p for i in range(m) for p in (order[i, : lo[i, j]], order[i, hi[i, j] :])]
-                outside[q] = np.bincount(np.concatenate(parts), minlength=n)
-            else:
-                parts = [p for i in range(m) for p in (order[i, lo[i, j] : low[i, j]], order[i, high[i, j] : hi[i, j]])]
-                outside[q] -= np.bincount(np.concatenate(parts), minlength=n).astype(np.int16)
-            hits = np.flatnonzero(outside[q] <= misses)
-            if len(hits) >= enough or (lo[:, j] == 0).all() and (hi[:, j] == n).all():
-                found[q] = hits
-            else:
-                rest.append(j)
-        active, low, high = active[rest], lo[:, rest], hi[:, rest]
-        radius *= RATIO
-    yield from found
+        return lo, hi
+
+    def ring(j: int, lo: np.ndarray, hi: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Collisions between the outer edges lo, hi and the inner ones low, high."""
+        parts = [p for i in range(m) for p in (order[i, lo[i, j] : low[i, j]], order[i, high[i, j] : hi[i, j]])]
+        return np.bincount(np.concatenate(parts), minlength=n).astype(np.int16)
+
+    def most(q: int, hits: np.ndarray) -> np.ndarray:
+        """Those of the hits with the most collisions."""
+        c = outside[q, hits]
+        return hits[c <= np.partition(c, enough - 1)[enough - 1]] if len(hits) > enough else hits
+
+    found: list = [None] * len(queries)
+    order = order.astype(np.intp)
+    outside = np.empty((len(queries), n), np.int16)  # what is outside is counted, it is less
+    every = np.arange(len(queries))
+    first = edges(every, RADIUS * norm)
+    zero, whole = np.zeros_like(first[0]), np.full_like(first[0], n)
+    grow, shrink = [], []
+    for q in every:
+        outside[q] = ring(q, zero, whole, *first)
+        hits = np.flatnonzero(outside[q] <= misses)
+        found[q] = most(q, hits)
+        (shrink if len(hits) >= enough else grow).append(q)
+    for active, ratio in ((np.array(grow, np.int64), RATIO), (np.array(shrink, np.int64), 1 / RATIO)):
+        radius, (low, high) = RADIUS * norm, (e[:, active] for e in first)
+        while len(active):
+            radius *= ratio
+            lo, hi = edges(active, radius)
+            rest = []
+            for j, q in enumerate(active):
+                outside[q] += ring(j, lo, hi, low, high) * np.int16(-1) if ratio > 1 else ring(j, low, high, lo, hi)
+                hits = np.flatnonzero(outside[q] <= misses)
+                if ratio > 1:
+                    found[q] = most(q, hits)
+                    done = len(hits) >= enough or (lo[:, j] == 0).all() and (hi[:, j] == n).all()
+                else:
+                    done = len(hits) < enough
+                    found[q] = found[q] if done else most(q, hits)
+                    done = done or bool((lo[:, j] >= hi[:, j]).all()) or radius < 1e-6 * norm
+                if not done:
+                    rest.append(j)
+            active, low, high = active[rest], lo[:, rest], hi[:, rest]
+    return found
 
 
 class Index:
@@ -95,19 +126,21 @@ class Index:
         small_batches(spark)
         v = F.transform(F.col(vector), lambda x: x.cast("double"))
         rows = table.select(F.col(id_col).alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & F.col("vec_id").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-        rows = rows.withColumn("_sq", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).where("_sq > 0")
-        sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("_sq").alias("sq")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
-        self.k, self.empty = k, not sizes
-        self.dim, self.rows, self.norm = (sizes[0]["d"], sizes[0]["n"], float(np.sqrt(sizes[0]["sq"]))) if sizes else (1, 0, 1.0)
+        # norms are taken in the scale of the largest component, so that no square overflows
+        rows = rows.withColumn("_most", F.array_max(F.transform("v", lambda x: F.abs(x)))).where("_most > 0")
+        sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("_most").alias("most")).orderBy(F.desc("n"), F.desc("d")).limit(1).collect()
+        self.k = k
+        self.dim, self.rows, self.scale = (sizes[0]["d"], sizes[0]["n"], sizes[0]["most"]) if sizes else (1, 0, 1.0)
         self.valid = rows.where(F.size("v") == self.dim).select("vec_id", "v")
+        self.norm = float(np.sqrt(self.valid.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / self.scale) * (x / self.scale)))).first()[0] or 1.0))
         self.n_blocks = max(1, -(-self.rows // BLOCK))
-        dim, norm, a = self.dim, self.norm, projections(self.dim + 1, n_projections)
+        dim, scale, norm, a = self.dim, self.scale, self.norm, projections(self.dim + 1, n_projections)
         self.a = a
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for block, ids, x in _gathered(batches, dim):
                 for part in range(0, len(ids), 1 << 15):  # places are uint16
-                    cols = build_block(ids[part : part + (1 << 15)], x[part : part + (1 << 15)], norm, a, k)
+                    cols = build_block(ids[part : part + (1 << 15)], x[part : part + (1 << 15)], scale, norm, a, k)
                     yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "distinct", "ids", "groups", "sorted", "places"])
 
         dealt = self.valid.distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(self.n_blocks)).cast("int")).repartition(self.n_blocks, "block").select("block", "vec_id", "v")
@@ -115,54 +148,72 @@ class Index:
 
     def search(self, queries: DataFrame) -> DataFrame:
         """queries: rows of valid (vec_id, v). Each query's k nearest found: query_id, rank (from 1), vec_id, score; its own id is no candidate."""
+        found = self.verified(queries).select("query_id", F.explode("hits").alias("h")).select("query_id", "h.*").distinct()
+        found = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= self.k)
+        return found.select("query_id", "rank", "vec_id", "score")
+
+    def verified(self, queries: DataFrame) -> DataFrame:
+        """Per query and block: query_id, n_verified (distinct vectors whose product was taken), hits: the k best as structs of vec_id and score."""
         dim, norm, a, k = self.dim, self.norm, self.a, self.k
-        n = max(1, -(-queries.count() // QUERY_BLOCK))
+        n = max(1, -(-queries.count() // QUERY_PART))
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, ids, x in _gathered(batches, dim):
-                for i in range(0, len(ids), 2 * QUERY_BLOCK):
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[i : i + 2 * QUERY_BLOCK].tobytes()], pa.binary()), pa.array([x[i : i + 2 * QUERY_BLOCK].tobytes()], pa.binary())], names=["query_ids", "query_vectors"])
+                for i in range(0, len(ids), QUERY_PART):
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[i : i + QUERY_PART].tobytes()], pa.binary()), pa.array([x[i : i + QUERY_PART].tobytes()], pa.binary())], names=["query_ids", "query_vectors"])
 
         asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(n)).cast("int")).repartition(n, "block").select("block", "vec_id", "v").mapInArrow(gather, "query_ids binary, query_vectors binary")
         asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(self.n_blocks - 1))))
-        pairs = self.blocks.join(asked, "block").repartition(self.n_blocks * n, "block", F.xxhash64("query_ids"))
+        # a block goes to its task once, the queries' parts come to it; more partitions than blocks, so that few blocks share one
+        tasks = 2 * self.n_blocks
+        pairs = self.blocks.repartition(tasks, "block").join(asked.repartition(tasks, "block").hint("shuffle_hash"), "block")
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
                     get = lambda c, kind: np.frombuffer(batch.column(batch.schema.get_field_index(c))[row].as_buffer(), kind)
-                    distinct, ids, groups = get("distinct", np.float64).reshape(-1, dim), get("ids", np.int64), get("groups", np.int32)
-                    values, places = get("sorted", np.float64).reshape(len(a), -1), get("places", np.uint16).reshape(len(a), -1)
+                    ids, groups = get("ids", np.int64), get("groups", np.int32)
+                    values, places = get("sorted", np.float32).reshape(len(a), -1), get("places", np.uint16).reshape(len(a), -1)
+                    short = len(batch.column(batch.schema.get_field_index("distinct"))[row].as_buffer()) == 4 * dim * values.shape[1]
+                    distinct = get("distinct", np.float32 if short else np.float64).reshape(-1, dim)
                     query_ids, x = get("query_ids", np.int64), get("query_vectors", np.float64).reshape(-1, dim)
                     begin = np.searchsorted(groups, np.arange(len(distinct) + 1))
-                    out: list[list[np.ndarray]] = [[], [], []]
-                    for q, own, hits in zip(x, query_ids, search_block(x, distinct, values, places, norm, a, k)):
-                        score = (distinct[hits] * q).sum(1)
-                        # the best distinct vectors and all that tie with the last; more of them, while own and repeated (id, score) leave fewer than k
-                        need = k + 1
-                        while True:
-                            some, value = hits, score
-                            if len(hits) > need:
-                                best = score >= np.partition(score, len(score) - need)[len(score) - need]
-                                some, value = hits[best], score[best]
-                            member = np.concatenate([ids[begin[h] : begin[h + 1]] for h in some]) if len(some) else ids[:0]
-                            value = np.repeat(value, begin[some + 1] - begin[some])
-                            member, value = member[member != own], value[member != own]
-                            top = np.lexsort((member, -value))
-                            fresh = np.ones(len(top), bool)
-                            fresh[1:] = (member[top][1:] != member[top][:-1]) | (value[top][1:] != value[top][:-1])
-                            top = top[fresh][:k]
-                            if len(top) == k or len(some) == len(hits):
-                                break
-                            need *= 2
-                        member, score = member[top], value[top]
-                        for o, c in zip(out, (np.full(len(top), own), member, score)):
-                            o.append(c)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["query_id", "vec_id", "score"])
-
-        found = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score double").distinct()
-        found = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-        return found.select("query_id", "rank", "vec_id", "score")
+                    looked, counts, out = [], [], [[], []]
+                    for i in range(0, len(x), 256):
+                        for q, own, hits in zip(x[i:], query_ids[i:], search_block(x[i : i + 256], len(distinct), values, places, norm, a, CANDIDATES)):
+                            with np.errstate(over="ignore", invalid="ignore"):
+                                score = (distinct[hits].astype(np.float64) * q).sum(1)
+                            member, score = _best(own, hits, score, ids, begin, k)
+                            looked.append(len(hits))
+                            counts.append(len(member))
+                            out[0].append(member)
+                            out[1].append(score)
+                    hits = pa.StructArray.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["vec_id", "score"])
+                    ends = pa.array(np.cumsum([0, *counts]).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(query_ids), pa.array(looked, pa.int32()), pa.ListArray.from_arrays(ends, hits)], names=["query_id", "n_verified", "hits"])
+
+        return pairs.mapInArrow(search, "query_id bigint, n_verified int, hits array<struct<vec_id: bigint, score: double>>")
+
+
+def _best(own: int, hits: np.ndarray, score: np.ndarray, ids: np.ndarray, begin: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best ids and scores of the distinct vectors hits; vector h has the ids ids[begin[h]:begin[h + 1]]."""
+    # the best distinct vectors and all that tie with the last; more of them, while own and repeated (id, score) leave fewer than k
+    need = k + 1
+    while True:
+        some, value = hits, score
+        if len(hits) > need:
+            best = score >= np.partition(score, len(score) - need)[len(score) - need]
+            some, value = hits[best], score[best]
+        member = np.concatenate([ids[begin[h] : begin[h + 1]] for h in some]) if len(some) else ids[:0]
+        value = np.repeat(value, begin[some + 1] - begin[some])
+        member, value = member[member != own], value[member != own]
+        top = np.lexsort((member, -value))
+        fresh = np.ones(len(top), bool)
+        fresh[1:] = (member[top][1:] != member[top][:-1]) | (value[top][1:] != value[top][:-1])
+        top = top[fresh][:k]
+        if len(top) == k or len(some) == len(hits):
+            return member[top], value[top]
+        need *= 2
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

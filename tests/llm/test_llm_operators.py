@@ -184,6 +184,38 @@ def test_search_recall_scores_and_ties(spark, sf):
     assert len(few) == 4
 
 
+def test_search_verifies_a_small_share_at_full_recall(spark):
+    """Random directions are the hardest case: no vector stands out."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(16_000, 64))
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(4)
+    index = ann.Index(df)
+    asked = index.valid.where("vec_id % 200 = 0")
+    looked = index.verified(asked).agg(F.sum("n_verified")).first()[0]
+    got = collections.defaultdict(set)
+    for r in index.search(asked).collect():
+        got[r.query_id].add(r.vec_id)
+    y = x.astype(float)
+    hit = sum(len({i for i in np.argsort(-(y @ y[q]))[:21] if i != q} & got[q]) for q in got)
+    assert len(got) == 80 and hit / (20 * 80) >= 0.9 and looked / (80 * len(x)) <= 0.025
+
+
+def test_search_of_clusters_and_of_huge_components(spark):
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(3, 8)), 400, axis=0) + rng.normal(size=(1200, 8)) * 0.01
+    for scale in (1.0, 1e200):  # squares of 1e200 overflow; products with the small query do not
+        y = x * scale
+        y[0] = x[0]
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
+        got = ann.nearest(df, every=1200).orderBy("rank").collect()
+        score = (y * y[0]).sum(1)
+        best = [i for i in np.lexsort((np.arange(1200), -score)) if i][:20]
+        assert len(set(best) & {r.vec_id for r in got}) >= 18 and all(abs(r.score - score[r.vec_id]) <= 1e-12 * abs(r.score) for r in got)
+        index = ann.Index(df)
+        assert index.verified(index.valid.where("vec_id < 5")).agg(F.max("n_verified")).first()[0] < 300  # not the whole cluster
+
+
 # --- toxicity --------------------------------------------------------------------------------------------------------------
 
 
