@@ -246,16 +246,60 @@ def test_toxicity_learns_from_its_fold_alone(spark, docs_of, odd):
 
 
 def test_label_model_weighs_voters_and_shares_voices():
-    rng = np.random.default_rng(0)
-    y = rng.random(4000) < 0.3
-    good, weak = np.where(rng.random(4000) < 0.9, y, ~y), np.where(rng.random(4000) < 0.6, y, ~y)
-    said = np.where(rng.random(4000) < 0.3, y * 2 - 1, 0)  # an annotator labels some rows
-    x = np.column_stack([np.stack([good, weak, weak, weak], 1) * 2 - 1, said])
-    v, n = np.unique(x, axis=0, return_counts=True)
-    m = toxicity.LabelModel(v, n.astype(float), np.where(v[:, -1] == 0, np.nan, v[:, -1] * 0.45 + 0.5))
-    assert m.share[1] < 0.6 < m.share[0]
-    q = m.posterior(x)
-    assert ((q > 0.5) == y)[said == 0].mean() > 0.8 > ((x[:, :4].sum(1) > 0) == y).mean()
+    """Three independent voters of known accuracy, one that only copies the first, one that speaks at random; no label is shown."""
+    rng = np.random.default_rng(1)
+    truth = rng.random(20_000) < 0.2
+    spoke = lambda p1, p0: (rng.random(len(truth)) < np.where(truth, p1, p0)).astype(int)
+    a, b, c, noise = spoke(0.6, 0.02), spoke(0.5, 0.05), spoke(0.4, 0.01), spoke(0.3, 0.3)
+    against = -((a + b + c == 0) & (rng.random(len(truth)) < 0.9)).astype(int)
+    x = np.stack([a, a, b, c, noise, against], 1)
+    vectors, counts = np.unique(x, axis=0, return_counts=True)
+    model = toxicity.LabelModel(vectors, counts.astype(float), 0.2)
+    assert model.share[0] < 0.7 and abs(model.share[0] - model.share[1]) < 1e-9 and model.share[2] > model.share[0]
+    assert abs(model.weight[4]) < 0.3 < min(model.weight[:4].min(), 1) and model.weight[5] < 0
+    q = model.posterior(x)
+    assert np.corrcoef(q, truth)[0, 1] > 0.7 and ((q > 0.5) == truth).mean() > 0.9
+    assert model.posterior(np.zeros((1, 6), int))[0] < 0.2
+
+
+def test_voters_abstain_and_see_through_disguise():
+    n = len(toxicity.PATTERNS)
+    assert toxicity.votes(toxicity.speak([], 0, 0, False, 3, 5)) == (0,) * toxicity.N_VOTERS
+    assert toxicity.votes(toxicity.speak([], 0, 0, False, 3, 50))[-1] == -1
+    v = toxicity.votes(toxicity.speak([0, 2, 9], 1, 1, True, 9, 50))
+    first = toxicity.SINGLE_VOTERS
+    assert v[:3] == (1, 0, 1) and v[first : first + 5] == (0, 1, 1, 0, 1) and v[-1 - n] == 1 and v[-1] == 0
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """1,500 texts of made-up words; toxic ones hold insults, of which a few are disguised."""
+    rng = random.Random(5)
+    vocabulary, insults = [f"word{i}" for i in range(400)], ["blighter", "dunce", "oaf", "nitwit", "scoundrel"]
+    rows, marks = [], []
+    for i in range(1500):
+        toxic = rng.random() < 0.2
+        t = [rng.choice(vocabulary) for _ in range(40)]
+        for _ in range(rng.randrange(1, 4) if toxic else 0):
+            t.insert(rng.randrange(40), rng.choice(insults))
+        rows.append((i, " ".join(t), "en", "s", 0))
+        marks.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, marks
+
+
+def test_toxicity_hardly_heeds_wrong_labels(spark, labelled):
+    docs, marks = labelled
+    rng = random.Random(6)
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    right = {r.doc_id: r for r in toxicity.score(docs, frame(marks[:700])).collect()}
+    flipped = {r.doc_id: r for r in toxicity.score(docs, frame([(i, q, 1 - t if rng.random() < 0.2 else t) for i, q, t in marks[:700]])).collect()}
+    truth = {i: t for i, _, t in marks}
+    for got in (right, flipped):
+        held = [r for r in got.values() if r.held_out]
+        assert sum(r.predicted == truth[r.doc_id] for r in held) / len(held) > 0.97
+    assert np.mean([right[i].predicted == flipped[i].predicted for i in truth]) > 0.97
+    assert np.mean([abs(right[i].score - flipped[i].score) for i in truth]) < 0.1
 
 
 # --- host rules ------------------------------------------------------------------------------------------------------------
