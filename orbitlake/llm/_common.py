@@ -150,13 +150,27 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+#: A key of more rows than this, and than 1 / MANY_KEYS of all rows, is hot: there are MANY_KEYS of them at most.
+HOT_ROWS, MANY_KEYS = 10_000, 100_000
+
+
+def join_skewed(left: DataFrame, right: DataFrame, key: str, right_key: str, n: str, rows: int) -> DataFrame:
+    """left joined to right, which has one row a key and in n the rows that left has of it; rows: those of left, about. Nulls match. Rows of hot keys
+    stay where they are: the hot part of right is broadcast, MANY_KEYS rows at most; the rest meets by key."""
+    limit = max(HOT_ROWS, rows // MANY_KEYS)
+    same = F.col(key).eqNullSafe(F.col(right_key))
+    hot = F.broadcast(right.where(F.col(n) > limit))
+    rest = left.join(hot.select(right_key), same, "left_anti").join(right.where(F.col(n) <= limit), same)
+    return left.join(hot, same).unionByName(rest)
+
+
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """edges: a, b (long). Connected components: node, root (the smallest node of its component), for the nodes that have edges. Large-star
     and small-star steps in turn, until nothing changes; each step's edges are written to the shared folder."""
 
     def least(e: DataFrame) -> DataFrame:
-        low = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("_u", "m").alias("m"))
-        return e.join(low, e["u"] == low["_u"]).drop("_u")
+        low = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"), "_n")
+        return join_skewed(e, low, "u", "_u", "_n", 2 * before[0]).drop("_u", "_n")
 
     def sums(e: DataFrame):
         return e.agg(F.count(F.lit(1)), F.sum(F.shiftright(F.xxhash64("a", "b"), 30))).first()

@@ -4,9 +4,10 @@ A document's set is its distinct 5-word shingles. All sets are ordered by one gl
 frequent by their hash, then the frequent ones by their count. Equal sets form one class. Two sets of Jaccard
 similarity t or more share a token among their first n - ceil(t n) + 1, so classes meet in the groups of those tokens;
 a group with the same members as one of an earlier token is dropped, since its pairs meet there, and a member leaves if its size and a few
-bits a token show that it is like no other. Groups that share members become one family; within it (within each group where a family is large), the members' sets are stored in
-a path-compressed tree and all members traverse it at once: the overlap up to a node is counted once for all sets
-below it, and a subtree is left as soon as the overlap so far and what remains cannot reach the bound any more.
+bits a token show that it is like no other. Groups that share members become one family. A family's sets are stored, from the frequent end of the
+order on, in a path-compressed tree and all members traverse it at once: the overlap up to a node is counted once for all sets
+below it, and a subtree is left as soon as the overlap so far and what remains cannot reach the bound any more. A family of p times
+the tokens that a tree may hold is dealt to p parts, and each two parts meet in a tree: every pair meets once.
 """
 
 from __future__ import annotations
@@ -17,17 +18,16 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import chunks, components, materialize, mix64, read, runs_hash, small_batches, texts_words
+from ._common import chunks, components, join_skewed, materialize, mix64, read, runs_hash, small_batches, texts_words
 
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
 #: The global order knows this many frequent shingles at most; which ones it knows changes the speed, never the result.
 FREQUENT, FREQUENT_FROM, SEEN_FROM = 400_000, 8, 3
-#: Members, and tokens in all their sets, that meet in one tree; a larger group is dealt to cells of two parts each.
-GROUP, GROUP_TOKENS = 4096, 4_000_000
+#: Members, and tokens in all their sets, of a part; two parts meet in a tree.
+GROUP, GROUP_TOKENS = 4096, 1_000_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -123,8 +123,8 @@ class Tree:
         for i, node in enumerate(self.nodes):
             (self.children[node[5]] if node[5] >= 0 else self.roots).append(i)
 
-    def traverse(self, vocabulary: int, early: np.ndarray, percent: int, block: int = 512) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-        """Per block of probes and set: the probes (numbers of sets) that are similar to it, the set, and which of these pairs share no early token."""
+    def traverse(self, vocabulary: int, percent: int, block: int = 512) -> Iterator[tuple[np.ndarray, int]]:
+        """Per block of probes and set: the probes (numbers of sets) that are similar to it, and the set."""
         order, sizes = np.array(self.order), self.sizes
         block = max(8, min(block, (32 << 20) // vocabulary))  # the matrix of probes and tokens takes 32 MB or so
         lengths = np.array([len(s) for s in self.sets])
@@ -134,54 +134,44 @@ class Tree:
             for j, p in enumerate(probes):
                 member[self.sets[p], j] = 1
             n, m = sizes[probes], lengths[probes]
-            todo = [(r, np.arange(len(probes)), np.zeros(len(probes), np.int32), np.zeros(len(probes), np.int32)) for r in self.roots]
+            todo = [(r, np.arange(len(probes)), np.zeros(len(probes), np.int32)) for r in self.roots]
             while todo:
-                i, who, overlap, before = todo.pop()
+                i, who, overlap = todo.pop()
                 spell, a, b, lo, hi, _ = self.nodes[i]
                 run = self.sets[spell][a:b]
                 if len(run):
                     got = member[run] if len(who) == len(probes) else member[run][:, who]
                     overlap = overlap + got.sum(0, dtype=np.int32)
-                    before = before + got[early[run]].sum(0, dtype=np.int32)
                 below = order[lo:hi]
                 least, most = sizes[below].min(), sizes[below].max()
                 reach = overlap + np.minimum(lengths[below].max() - b, m[who] - overlap)
                 stay = (reach * (100 + percent) >= percent * (n[who] + least)) & (100 * most >= percent * n[who]) & (percent * least <= 100 * n[who])
                 if not stay.any():
                     continue
-                who, overlap, before = who[stay], overlap[stay], before[stay]
+                who, overlap = who[stay], overlap[stay]
                 for s in below[lengths[below] == b] if self.children[i] else below:
                     hit = overlap * (100 + percent) >= percent * (n[who] + sizes[s])
                     if hit.any():
-                        yield probes[who[hit]], int(s), before[hit] == 0
-                todo += [(c, who, overlap, before) for c in self.children[i]]
+                        yield probes[who[hit]], int(s)
+                todo += [(c, who, overlap) for c in self.children[i]]
 
 
-def join_group(token: int | None, sets: list[np.ndarray], weights: np.ndarray, parts: np.ndarray | None = None, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """One group's links: each member's smallest connected member, and the weight of those that it is linked to. token: count only pairs without a token before this one in
-    common (each pair of the whole join is so in one token's group). parts: count only pairs of members of different parts."""
+def join_group(sets: list[np.ndarray], weights: np.ndarray, parts: np.ndarray | None = None, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a tree's members: each member's smallest connected member, and the weight of those that it is linked to. parts: only pairs of different parts count."""
     sizes = np.array([len(s) for s in sets])
     every, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    # what one member alone has cannot overlap; the rest goes by falling count, so that paths are shared
-    rank = np.empty(len(every), np.int32)
-    by_count = np.lexsort((every, -counts))
-    rank[by_count] = np.arange(len(every))
-    vocabulary = int((counts > 1).sum())
-    early = np.zeros(max(1, vocabulary), bool)
-    if token is not None:
-        early[rank[(every < np.uint64(token)) & (counts > 1)]] = True
+    # what one member alone has cannot overlap; the rest keeps the global order, from its frequent end on, so that paths are shared
+    shared = counts > 1
+    vocabulary = int(shared.sum())
+    rank = np.where(shared, vocabulary - np.cumsum(shared), vocabulary).astype(np.int32)
     ends = np.cumsum(sizes)
-    ranked = [(r := rank[inverse[e - n : e]])[r < vocabulary] for e, n in zip(ends, sizes)]
-    del every, inverse, rank, by_count
-    for r in ranked:
-        r.sort()
+    ranked = [(r := rank[inverse[e - n : e]])[r < vocabulary][::-1] for e, n in zip(ends, sizes)]
+    del every, inverse, rank
     label, linked = np.arange(len(sets)), np.zeros(len(sets), np.int64)
-    for probes, s, first in Tree(ranked, sizes).traverse(max(1, vocabulary), early, percent):
+    for probes, s in Tree(ranked, sizes).traverse(max(1, vocabulary), percent):
         if parts is not None:
-            apart = parts[probes] != parts[s]
-            probes, first = probes[apart], first[apart]
-        other = probes != s
-        linked[s] += weights[probes[other & first]].sum()
+            probes = probes[parts[probes] != parts[s]]
+        linked[s] += weights[probes[probes != s]].sum()
         found = np.unique(label[np.append(probes, s)])
         if len(found) > 1:
             label[np.isin(label, found)] = found[0]
@@ -202,53 +192,51 @@ def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np
     lengths = np.array([len(b) for b in bits])
     for length in np.unique(lengths):
         # sizes of similar sets are within percent / 100, so their bits are as many or twice as many
-        same, twice = np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)
+        same, twice = (x[np.argsort(sizes[x], kind="stable")] for x in (np.flatnonzero(lengths == length), np.flatnonzero(lengths == 2 * length)))
         at = np.concatenate([same, twice])
         rows = [np.frombuffer(bits[i], np.uint64) for i in same]
         rows += [np.bitwise_or.reduce(np.frombuffer(bits[i], np.uint64).reshape(2, -1)) for i in twice]
         table, n = np.stack(rows), sizes[at]
+        # in order of size: what is too large for i comes last
+        ends = np.searchsorted(n, n * 100 // percent, "right")
         for i in range(len(same)):
-            rest = table[i + 1 :]
-            need = percent * (n[i] + n[i + 1 :])
+            rest, size = table[i + 1 : ends[i]], n[i + 1 : ends[i]]
             mine = n[i] - np.bitwise_count(table[i] & ~rest).sum(1, dtype=np.int64)
-            other = n[i + 1 :] - np.bitwise_count(rest & ~table[i]).sum(1, dtype=np.int64)
-            hit = np.minimum(mine, other) * (100 + percent) >= need
+            other = size - np.bitwise_count(rest & ~table[i]).sum(1, dtype=np.int64)
+            hit = np.minimum(mine, other) * (100 + percent) >= percent * (n[i] + size)
             if hit.any():
                 out[at[i]] = True
-                out[at[i + 1 :][hit]] = True
+                out[at[i + 1 : ends[i]][hit]] = True
     return out
 
 
 def _groups(posts: DataFrame) -> DataFrame:
-    """posts: token, node. Those whose token has two nodes or more, with size, and low, high, m1, m2 that tell groups of other members apart."""
-    at = W.partitionBy("token")
-    mark = lambda seed: F.sum(F.shiftright(F.xxhash64("node", F.lit(seed)), 34)).over(at)
-    posts = posts.select("token", "node", F.min("node").over(at).alias("low"), F.max("node").over(at).alias("high"), F.count(F.lit(1)).over(at).alias("size"), mark(1).alias("m1"), mark(2).alias("m2"))
-    return posts.where("low <> high")
+    """posts: token, node, each pair once. The tokens of two nodes or more: token, low and high (nodes), size, and m1, m2 that tell groups of other members apart."""
+    mark = lambda seed: F.sum(F.shiftright(F.xxhash64("node", F.lit(seed)), 34))
+    groups = posts.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("size"), mark(1).alias("m1"), mark(2).alias("m2"))
+    return groups.where("size > 1")
 
 
-def _first_of_equal(posts: DataFrame) -> DataFrame:
-    """Of the groups with the same members, that of the first token: token, node, size."""
-    first = posts.groupBy("low", "high", "size", "m1", "m2").agg(F.min("token").alias("token")).select("token")
-    return posts.join(first, "token", "left_semi").select("token", "node", "size").distinct()
+def _first_of_equal(groups: DataFrame) -> DataFrame:
+    """Of the groups with the same members, that of the first token."""
+    return groups.groupBy("low", "high", "size", "m1", "m2").agg(F.min("token").alias("_token")).select("_token", "low", "size")
 
 
-def _cells(posts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Deals groups of over GROUP members to cells of two parts each, so that any two members meet; with what sets has of each node. Cells lie together."""
-    posts = posts if "by_token" in posts.columns else posts.withColumn("by_token", F.lit(True))
-    cells = posts.withColumn("parts", F.ceil(F.col("size") / GROUP).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+def _cells(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """members: token (of a group or family), node, parts. Deals each group to cells of two of its parts, so that any two members meet; with what sets has of each node. Cells lie together."""
+    cells = members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("by_token", "token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
-    n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cells.join(sets, "node").repartition(n, "by_token", "token", "one", "two").sortWithinPartitions("by_token", "token", "one", "two", "node")
+    cells = cells.select("token", "node", "part", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"))
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cells.join(sets, "node").repartition(n, "token", "one", "two").sortWithinPartitions("token", "one", "two", "node")
 
 
-def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[bool, int, int, int], list[dict]]]:
+def _by_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], list[dict]]]:
     """The rows of each cell of two members or more."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            at = (row["by_token"], row["token"], row["one"], row["two"])
+            at = (row["token"], row["one"], row["two"])
             if at != key:
                 if len(rows) > 1:
                     yield key, rows
@@ -309,30 +297,31 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
 
     base = materialize(docs.select("doc_id", text).mapInArrow(sets, f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>, bits binary"), "jaccard-sets")
 
-    # groups: a token and the classes that have it in their prefix, if there are two at least
-    posts = materialize(_groups(base.where("n > 0").select("node", F.explode("prefix").alias("token"))), "jaccard-groups")
-    classes = base.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count(F.lit(1)).alias("weight"))
+    some = base.where("n > 0")
+    classes = materialize(some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("weight")), "jaccard-classes")
+    n_tokens = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, token, _, _), rows in _by_cell(batches):
+        for (token, _, _), rows in _by_cell(batches):
             keep = [r["node"] for r, k in zip(rows, may_link(np.array([r["n"] for r in rows]), [r["bits"] for r in rows], percent)) if k]
             if keep:
                 yield pa.RecordBatch.from_arrays([pa.array([token] * len(keep), pa.int64()), pa.array(keep, pa.int64())], names=["token", "node"])
 
-    near = _cells(_first_of_equal(posts), classes.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
-    near = materialize(_groups(near), "jaccard-near")
-    # what is left hangs together in small families, each of which meets in one tree; the groups of a large one meet by token
-    family = components(near.select(F.col("node").alias("a"), F.col("low").alias("b")), "jaccard-families").withColumnRenamed("root", "family")
+    # groups: a token and the classes that have it in their prefix
+    posts = classes.select("node", F.explode("prefix").alias("token"))
+    groups = join_skewed(posts, _first_of_equal(_groups(posts)), "token", "_token", "size", n_tokens)
+    near = _cells(groups.select("token", "node", F.ceil(F.col("size") / GROUP).cast("int").alias("parts")), classes.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
+    near = materialize(near, "jaccard-near")
+    # what is left hangs together in families
+    edges = join_skewed(near, _first_of_equal(_groups(near)), "token", "_token", "size", n_tokens).select(F.col("node").alias("a"), F.col("low").alias("b"))
+    family = components(edges, "jaccard-families").withColumnRenamed("root", "token")
     family = materialize(family.join(classes.select("node", "n"), "node"), "jaccard-families")
-    extent = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
-    large = (F.col("members") > GROUP) | (F.col("tokens") > GROUP_TOKENS)
-    family = family.join(extent, "family").select("node", "family", large.alias("large"))
-    one_tree = family.where("not large").select(F.lit(False).alias("by_token"), F.col("family").alias("token"), "node", F.lit(1).cast("long").alias("size"))
-    by_token = _first_of_equal(near.join(family.where("large").select("node"), "node", "left_semi")).select(F.lit(True).alias("by_token"), "token", "node", "size")
-    posts = materialize(one_tree.unionByName(by_token), "jaccard-posts")
+    extent = family.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+    parts = F.greatest(F.ceil(F.col("members") / GROUP), F.ceil(F.col("tokens") / GROUP_TOKENS)).cast("int")
+    posts = join_skewed(family, extent, "token", "_token", "members", n_tokens).select("token", "node", parts.alias("parts"))
 
     # the classes' whole sets, from one document each
-    wanted = classes.select("node", "doc_id").join(posts.select("node").distinct(), "node", "left_semi").select(F.col("doc_id").alias("_id"))
+    wanted = classes.select("node", "doc_id").join(family.select("node"), "node", "left_semi").select(F.col("doc_id").alias("_id"))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -344,22 +333,23 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     full = materialize(texts.mapInArrow(whole, "node bigint, keys binary").dropDuplicates(["node"]), "jaccard-full")
     cells = _cells(posts, full.join(classes.select("node", "weight"), "node"))
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (by_token, token, one, two), rows in _by_cell(batches):
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, one, two), rows in _by_cell(batches):
             nodes = np.array([r["node"] for r in rows], np.int64)
             cross = np.array([r["part"] for r in rows]) if one != two else None
-            label, linked = join_group(token + (1 << 63) if by_token else None, [np.frombuffer(r["keys"], np.uint64) for r in rows], np.array([r["weight"] for r in rows], np.int64), cross, percent)
+            label, linked = join_group([np.frombuffer(r["keys"], np.uint64) for r in rows], np.array([r["weight"] for r in rows], np.int64), cross, percent)
             keep = (label != np.arange(len(rows))) | (linked > 0)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
 
-    links = materialize(cells.mapInArrow(groups, "a bigint, b bigint, linked bigint"), "jaccard-links")
+    links = materialize(cells.mapInArrow(trees, "a bigint, b bigint, linked bigint"), "jaccard-links")
     roots = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "root").join(degree, "node", "left").select(F.col("node").alias("_node"), "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+    smallest = named.groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
+    named = join_skewed(named.select("node", "doc_id", "weight", "root"), smallest, "root", "_root", "_n", n_tokens).join(degree, "node", "left").select(F.col("node").alias("_node"), "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "weight")
     slim = base.select("doc_id", F.col("n").alias("n_shingles"), "node")
-    out = slim.join(named, (slim["node"] == named["_node"]) & (slim["n_shingles"] > 0), "left")
+    out = join_skewed(slim.where("n_shingles > 0"), named, "node", "_node", "weight", n_tokens).select("doc_id", "n_shingles", "component_id", "n_links")
+    out = out.unionByName(slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast(kind).alias("component_id"), F.lit(0).cast("long").alias("n_links")))
     alone = F.col("n_shingles") == 0
     return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"))
 
