@@ -1,9 +1,9 @@
 """Secret scans by corpus-wide ownership frequency (native).
 
 Candidates are found by pattern in every whole text. Their values' hashes are counted over the corpus by distinct
-owners and repositories: a value that several owners share is a copied example, a value of one owner alone that looks
-random is a live credential. A hot value is summed by (hash, owner, repository), then by (hash, owner), then by hash,
-each time on the map side first.
+owners and repositories: a value that several owners share, or that is in many repositories, is a copied example; a value of one
+owner, in few repositories, that looks random is a live credential; one that looks so but is neither is shared. A hot value is summed by
+(hash, owner, repository), then by (hash, owner), then by hash, each time on the map side first; verdicts on hot values are broadcast.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import materialize, read, text_or_empty
+from ._common import join_skewed, materialize, read, text_or_empty
 
 #: Kind, pattern, group of the value, least characters of that group.
 KINDS = (
@@ -24,8 +24,10 @@ KINDS = (
 )
 #: One pass that finds out which texts have anything; what it finds is a superset.
 ANY = r"(?i:(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=])|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-#: A value that this many owners share is an example.
-EXAMPLE_OWNERS = 3
+#: A value that this many owners share, or that this many repositories hold, is an example; a live value is in this many repositories at most.
+EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES, LIVE_REPOSITORIES = 3, 5, 2
+#: The verdicts whose spans are masked.
+MASKED = ("live", "shared")
 #: A live value has this many different characters at least, a letter and a digit, and none of the words below.
 LIVE_DISTINCT = 8
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|placeholder|your|xxxx|test|1234|abcd"
@@ -56,53 +58,63 @@ def candidates(docs: DataFrame, owner: str = "source", repository=None, text: st
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """One row a value: value_hash (SHA-256), n_owners, n_repositories, n_documents, verdict: example, live or unsure."""
+    """One row a value: value_hash (SHA-256), n_owners, n_repositories, n_spans, verdict: example, live, shared or unsure."""
     hashed = found.select(F.sha2("value", 256).alias("value_hash"), "value", "owner", "repository")
     live = hashed["value"].rlike("[A-Za-z]") & hashed["value"].rlike("[0-9]") & ~hashed["value"].rlike(PLACEHOLDER) & (F.size(F.array_distinct(F.split("value", ""))) >= LIVE_DISTINCT)
     by_repository = hashed.withColumn("_live", live).groupBy("value_hash", "owner", "repository").agg(F.count(F.lit(1)).alias("n"), F.max("_live").alias("_live"))
     by_owner = by_repository.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("r"), F.sum("n").alias("n"), F.max("_live").alias("_live"))
     out = by_owner.groupBy("value_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("r").alias("n_repositories"), F.sum("n").alias("n_spans"), F.max("_live").alias("_live"))
-    verdict = F.when(F.col("n_owners") >= EXAMPLE_OWNERS, "example").when((F.col("n_owners") == 1) & F.col("_live"), "live").otherwise("unsure")
+    example = (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repositories") >= EXAMPLE_REPOSITORIES)
+    own = (F.col("n_owners") == 1) & (F.col("n_repositories") <= LIVE_REPOSITORIES)
+    verdict = F.when(example, "example").when(own & F.col("_live"), "live").when(F.col("_live"), "shared").otherwise("unsure")
     return out.withColumn("verdict", verdict).drop("_live")
 
 
 def scan(docs: DataFrame, owner: str = "source", repository=None, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: doc_id, those of keep, n_assign, n_access, n_hex, base_sha256 (of the base spans), spans (with those the method adds: live:start:end
-    and example:start:end for values of either verdict), n_live, n_example, masked (values that are no examples, longest first).
+    and example:start:end for values of either verdict), n_live, n_example, masks (start and end of the values that MASKED verdicts hit, in order).
 
     Nulls: a null text is empty; null ids, owners and repositories are keys like others. Repeated rows give the same result each and count once.
     An empty table gives no rows. Other columns are ignored, whatever their names."""
     docs = docs.select(*dict.fromkeys(["doc_id", text, owner, "lang", *keep])) if repository is None else docs
     repo = F.concat_ws("/", F.col(owner), F.col("lang")) if repository is None else repository
     found = materialize(candidates(docs, owner, repo, text).withColumn("value_hash", F.sha2("value", 256)), "secrets")
-    judged = found.join(ownership(found).select("value_hash", "verdict"), "value_hash")
+    values = materialize(ownership(found), "secret-values")
+    n_spans = values.agg(F.sum("n_spans")).first()[0] or 0
+    judged = join_skewed(found, values.select(F.col("value_hash").alias("_vh"), "verdict", "n_spans"), "value_hash", "_vh", "n_spans", n_spans)
     label = lambda kind, start, end: F.concat_ws(":", kind, start.cast("string"), end.cast("string"))
     base = F.struct(F.col("start"), F.col("ord"), label(F.col("kind"), F.col("start"), F.col("end")).alias("s"))
     from_ = F.col("end") - F.length("value")
-    extra = F.when(F.col("verdict") != "unsure", F.struct(from_.alias("start"), F.when(F.col("verdict") == "live", 3).otherwise(4).alias("ord"), label(F.col("verdict"), from_, F.col("end")).alias("s")))
+    extra = F.when(F.col("verdict").isin("live", "example"), F.struct(from_.alias("start"), F.when(F.col("verdict") == "live", 3).otherwise(4).alias("ord"), label(F.col("verdict"), from_, F.col("end")).alias("s")))
     joined = lambda c: F.array_join(F.transform(F.sort_array(c), lambda x: x["s"]), ",")
     of = judged.groupBy("doc_id", "_th", "owner", "repository").agg(
         *[F.count_if(F.col("kind") == k[0]).alias(f"n_{k[0]}") for k in KINDS],
         F.collect_list(base).alias("_base"), F.array_distinct(F.collect_list(extra)).alias("_extra"),
-        F.array_distinct(F.collect_list(F.when(F.col("verdict") != "example", F.struct((-F.length("value")).alias("n"), F.col("value"))))).alias("_masked"))
+        F.array_sort(F.array_distinct(F.collect_list(F.when(F.col("verdict").isin(*MASKED), F.struct(from_.cast("int").alias("start"), F.col("end").cast("int").alias("end")))))).alias("masks"))
     of = of.select(
         F.col("doc_id").alias("_id"), F.col("_th").alias("_h"), F.col("owner").alias("_o"), F.col("repository").alias("_r"), *[f"n_{k[0]}" for k in KINDS], joined("_base").alias("_s"),
         joined(F.concat("_base", "_extra")).alias("spans"), F.size(F.filter("_extra", lambda x: x["ord"] == 3)).cast("long").alias("n_live"), F.size(F.filter("_extra", lambda x: x["ord"] == 4)).cast("long").alias("n_example"),
-        F.transform(F.sort_array("_masked"), lambda x: x["value"]).alias("masked"))
+        "masks")
     slim = docs.select("doc_id", *keep, F.xxhash64(text_or_empty(text)).alias("_th"), F.col(owner).alias("_owner"), repo.alias("_repo"))
     same = slim["doc_id"].eqNullSafe(of["_id"]) & (slim["_th"] == of["_h"]) & slim["_owner"].eqNullSafe(of["_o"]) & slim["_repo"].eqNullSafe(of["_r"])
     out = slim.join(of, same, "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return out.select("doc_id", *keep, *[zero(f"n_{k[0]}") for k in KINDS], F.sha2(F.coalesce("_s", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"), F.coalesce("masked", F.array().cast("array<string>")).alias("masked"))
+    return out.select("doc_id", *keep, *[zero(f"n_{k[0]}") for k in KINDS], F.sha2(F.coalesce("_s", F.lit("")), 256).alias("base_sha256"), F.coalesce("spans", F.lit("")).alias("spans"), zero("n_live"), zero("n_example"), F.coalesce("masks", F.array().cast("array<struct<start: int, end: int>>")).alias("masks"))
 
 
-def masked_text(text: Column, values: Column, sign: str = "<secret>") -> Column:
-    """The text with every occurrence of the values replaced; the longest values go first."""
-    return F.aggregate(values, text, lambda t, v: F.replace(t, v, F.lit(sign)))
+def masked_text(text: Column, masks: Column, sign: str = "<secret>") -> Column:
+    """The text with the spans of masks (start and end in code points, by start) replaced; spans that overlap are one."""
+    piece = lambda begin, n: F.substr(text, begin + 1, n)
+
+    def step(a: Column, m: Column) -> Column:
+        out = F.when(m["start"] >= a["at"], F.concat(a["out"], piece(a["at"], m["start"] - a["at"]), F.lit(sign))).otherwise(a["out"])
+        return F.struct(out.alias("out"), F.greatest(a["at"], m["end"]).alias("at"))
+
+    return F.aggregate(masks, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step, lambda a: F.concat(a["out"], piece(a["at"], F.length(text))))
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan(read(spark, sf_dir, "documents")).drop("masked")
+    return scan(read(spark, sf_dir, "documents")).drop("masks")
 
 
 def _oracle_kind(kind: str, order: int, pattern: str, group: int, least: int) -> str:
@@ -117,9 +129,10 @@ WITH raw AS ({" UNION ALL ".join(_oracle_kind(k, i, p, g, n) for i, (k, p, g, n)
 placed AS (SELECT *, CAST(sum(gap + n) OVER (PARTITION BY doc_id, kind ORDER BY i) AS BIGINT) AS e FROM raw),
 found AS (SELECT *, e - n AS s FROM placed WHERE len(value) >= least),
 verdicts AS (
-  SELECT value, CASE WHEN count(DISTINCT coalesce('s' || source, '')) >= {EXAMPLE_OWNERS} THEN 'example'
-    WHEN count(DISTINCT coalesce('s' || source, '')) = 1 AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND NOT regexp_matches(value, '{PLACEHOLDER}')
-         AND len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} THEN 'live' ELSE 'unsure' END AS verdict FROM found GROUP BY value),
+  SELECT value, CASE WHEN owners >= {EXAMPLE_OWNERS} OR repositories >= {EXAMPLE_REPOSITORIES} THEN 'example'
+    WHEN owners = 1 AND repositories <= {LIVE_REPOSITORIES} AND regexp_matches(value, '[A-Za-z]') AND regexp_matches(value, '[0-9]') AND NOT regexp_matches(value, '{PLACEHOLDER}')
+         AND len(list_distinct(string_split(value, ''))) >= {LIVE_DISTINCT} THEN 'live' ELSE 'unsure' END AS verdict
+  FROM (SELECT value, count(DISTINCT coalesce('s' || source, '')) AS owners, count(DISTINCT (coalesce('s' || source, ''), concat_ws('/', source, lang))) AS repositories FROM found GROUP BY value)),
 judged AS (SELECT f.*, v.verdict FROM found f JOIN verdicts v USING (value)),
 spans AS (
   SELECT doc_id, s, ord, kind || ':' || s || ':' || e AS l FROM judged
