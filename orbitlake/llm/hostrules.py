@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import WORD, materialize, read, text_or_empty
+from ._common import WORD, join_skewed, materialize, read, text_or_empty
 
 #: A document fails a rule of the method beyond these: symbols a word, share of repeated lines, mean word length.
 SYMBOLS_A_WORD, DUP_LINES, WORD_LENGTH = 0.1, 0.3, (2.0, 20.0)
-#: A host whose shrunk failure rate is above this is rejected with all its documents.
-HOST_LIMIT = 0.8
+#: Limits of a host's shrunk failure rate, in standard deviations of the fitted prior above its mean. Beyond the first a host is suspect: its documents that fail any rule go.
+#: Beyond the second it is rejected with all its documents.
+SUSPECT, REJECTED = 0.25, 2.0
 
 
 def _let(value: Column, body) -> Column:
@@ -63,27 +64,29 @@ def rule_failed() -> Column:
     return base_failed() | (F.col("n_symbols") > F.col("n_words") * SYMBOLS_A_WORD) | (F.col("n_dup_lines") > F.col("n_lines") * DUP_LINES) | ~F.coalesce(mean.between(*WORD_LENGTH), F.lit(False))
 
 
-def host_verdicts(measured: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """One row a host: host, n, failed, rate (shrunk), rejected. The prior Beta(a, b) has the mean and the variance of the hosts' raw rates
+def host_verdicts(measured: DataFrame, suspect: float = SUSPECT, rejected: float = REJECTED) -> DataFrame:
+    """One row a host: host, n, failed, rate (shrunk), suspect, rejected. The prior Beta(a, b) has the mean and the variance of the hosts' raw rates
     (method of moments, a + b within 2 and 10,000; 2 where all rates agree or there is one host)."""
     hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(rule_failed().cast("long")).alias("failed"))
     hosts = materialize(hosts, "hosts")
     mean, var = hosts.agg(F.avg(F.col("failed") / F.col("n")), F.var_pop(F.col("failed") / F.col("n"))).first()
     mean, var = mean or 0.0, var or 0.0
     size = min(10_000.0, max(2.0, mean * (1 - mean) / var - 1)) if var > 1e-12 else 2.0
+    deviation = (mean * (1 - mean) / (size + 1)) ** 0.5
     rate = (F.col("failed") + F.lit(mean * size)) / (F.col("n") + F.lit(size))
-    return hosts.withColumn("rate", rate).withColumn("rejected", F.col("rate") > limit)
+    return hosts.withColumn("rate", rate).withColumn("suspect", F.col("rate") > mean + suspect * deviation).withColumn("rejected", F.col("rate") > mean + rejected * deviation)
 
 
-def judge(docs: DataFrame, host: Column, text: str = "text", keep: tuple[str, ...] = (), limit: float = HOST_LIMIT) -> DataFrame:
-    """One row per input row: the measures, base_failed, host_rate and kept: false where the base rules fail or the host is rejected.
+def judge(docs: DataFrame, host: Column, text: str = "text", keep: tuple[str, ...] = (), suspect: float = SUSPECT, rejected: float = REJECTED) -> DataFrame:
+    """One row per input row: the measures, base_failed, host_rate and kept: false where the base rules fail, the host is rejected, or it is suspect and any rule fails.
 
     Nulls: a null text has no words and fails; a null host is a host of its own. Repeated rows count each. An empty table gives no rows. Other columns
     are ignored, whatever their names."""
     measured = materialize(measures(docs, host, text, keep), "measures")
-    hosts = host_verdicts(measured, limit).select(F.col("host").alias("_host"), F.col("rate").alias("host_rate"), "rejected")
-    out = measured.join(hosts, measured["host"].eqNullSafe(hosts["_host"]))
-    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~F.col("rejected")).drop("_host", "rejected")
+    hosts = host_verdicts(measured, suspect, rejected).select(F.col("host").alias("_host"), F.col("n").alias("_n"), F.col("rate").alias("host_rate"), "suspect", "rejected")
+    out = join_skewed(measured, hosts, "host", "_host", "_n", hosts.agg(F.sum("_n")).first()[0] or 0)
+    goes = F.col("rejected") | F.col("suspect") & rule_failed()
+    return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~goes).drop("_host", "_n", "suspect", "rejected")
 
 
 def op6_hostrules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,8 +109,9 @@ r AS (SELECT *, base_failed OR n_symbols > n_words * {SYMBOLS_A_WORD} OR n_dup_l
   OR NOT coalesce(word_chars::DOUBLE / nullif(n_words, 0) BETWEEN {WORD_LENGTH[0]} AND {WORD_LENGTH[1]}, false) AS failed FROM f),
 h AS (SELECT host, count(*) AS n, sum(failed::INT)::DOUBLE AS failed FROM r GROUP BY host),
 p AS (SELECT avg(failed / n) AS mean, var_pop(failed / n) AS var FROM h),
-s AS (SELECT mean, CASE WHEN var > 1e-12 THEN least(10000, greatest(2, mean * (1 - mean) / var - 1)) ELSE 2 END AS size FROM p)
+s AS (SELECT mean, CASE WHEN var > 1e-12 THEN least(10000, greatest(2, mean * (1 - mean) / var - 1)) ELSE 2 END AS size FROM p),
+v AS (SELECT host, (h.failed + mean * size) / (h.n + size) AS rate, mean, sqrt(mean * (1 - mean) / (size + 1)) AS deviation FROM h, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((h.failed + s.mean * s.size) / (h.n + s.size) > {HOST_LIMIT}) AS kept
-FROM f JOIN h ON f.host IS NOT DISTINCT FROM h.host, s
+  NOT base_failed AND NOT (rate > mean + {REJECTED} * deviation OR rate > mean + {SUSPECT} * deviation AND failed) AS kept
+FROM r JOIN v ON r.host IS NOT DISTINCT FROM v.host
 """
