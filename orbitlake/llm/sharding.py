@@ -1,6 +1,6 @@
 """Minimum-cost-flow resharding: from old shard sizes to new capacities with the fewest bytes moved.
 
-Every old shard is cut into a fixed number of blocks by a hash of the id; only block sums are gathered. Rows larger
+Every old shard is cut into blocks by a hash of the id; only block sums are gathered. Rows larger
 than a small share of a new shard (their number is bounded by that share) are placed one by one; all others flow: a
 transport problem from old shards to new ones, where staying costs nothing and moving costs one a byte. The flow
 becomes byte ranges of each old shard, so that a row's new shard and slot follow from its block's start and its place
@@ -18,8 +18,10 @@ from pyspark.sql import types as T
 
 from ._common import materialize, read, text_or_empty
 
-#: Blocks of an old shard. Their sums go to the driver: BLOCKS rows an old shard, whatever the input.
-BLOCKS = 256
+#: Blocks of an old shard: as many as bring a block of the largest one to ROWS_A_BLOCK rows or so, within these two. Their sums go to the driver.
+BLOCKS, ROWS_A_BLOCK = (256, 16_384), 200_000
+#: Rows of a file when shards are rewritten.
+ROWS_A_FILE = 1_000_000
 #: A row above 1 / (LARGE_SHARE * new shards) of all bytes is placed by itself; there are at most LARGE_SHARE * new shards of them.
 LARGE_SHARE = 64
 ROW_BYTES = 16
@@ -110,7 +112,10 @@ def reshard(docs: DataFrame, old_shard, n_old: int, weights: list[float], text:
     their own with slots of their own. Equal rows may trade slots. An empty table gives no rows. A row larger than a shard's capacity overfills it alone."""
     n_new = len(weights)
     base = docs.select("doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long").alias("size"), F.crc32(text_or_empty(text).cast("binary")).alias("text_crc32"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"), F.xxhash64("doc_id").alias("_h"))
-    base = materialize(base.withColumn("_block", F.pmod("_h", F.lit(BLOCKS)).cast("int")), tag)
+    base = materialize(base, tag)
+    most = max((r["n"] for r in base.groupBy("old_shard").agg(F.count(F.lit(1)).alias("n")).collect()), default=0)  # n_old rows
+    n_blocks = min(max(BLOCKS[0], -(-most // ROWS_A_BLOCK)), BLOCKS[1])
+    base = base.withColumn("_block", F.pmod("_h", F.lit(n_blocks)).cast("int"))
     total = base.agg(F.sum("size")).first()[0] or 0
     limit = total // (LARGE_SHARE * n_new)
     capacity = [total * w / sum(weights) for w in weights]
@@ -127,7 +132,7 @@ def reshard(docs: DataFrame, old_shard, n_old: int, weights: list[float], text:
 
     small = base.where(F.col("size") <= limit)
     sums = small.groupBy("old_shard", "_block").agg(F.sum("size").alias("s"))
-    blocks = sorted((r["old_shard"], r["_block"], r["s"]) for r in sums.collect())  # n_old * BLOCKS rows at most
+    blocks = sorted((r["old_shard"], r["_block"], r["s"]) for r in sums.collect())  # n_old * n_blocks rows at most
     supply = [0] * n_old
     starts = []
     for old, block, s in blocks:
@@ -163,15 +168,38 @@ def reshard(docs: DataFrame, old_shard, n_old: int, weights: list[float], text:
     return rest.select(*cols).unionByName(few.select(*cols))
 
 
-def rewrite(docs: DataFrame, plan: DataFrame, path: str) -> DataFrame:
-    """Writes the documents of every shard whose rows changed (one came or one left) under path/shard=N, and leaves the files of all other
-    shards alone. docs has unique ids here. Returns the affected shards."""
-    changed = plan.where("moved").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
-    rows = plan.join(F.broadcast(changed), "shard", "left_semi").select("doc_id", "shard", "slot")
-    full = docs.join(rows, "doc_id").repartition("shard").sortWithinPartitions("shard", "slot")
-    full.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    full.write.mode("overwrite").partitionBy("shard").parquet(path)
-    return changed
+def rewrite(docs: DataFrame, plan: DataFrame, old_path: str, new_path: str, text: str = "text") -> DataFrame:
+    """Rewrites the files that a plan of reshard affects. The old layout has a folder old_path/shard=N for each shard with rows. The rows of every shard that one joins or
+    leaves are written, in order of their slots, under new_path/data/shard=N; files of all other shards are not touched, and nothing is written to old_path. The
+    manifest, returned and written to new_path/manifest, lists shard, rows, path (null: the shard is empty now) and rewritten; read_layout reads by it.
+
+    Rows meet the plan by id, size and CRC of the text, nulls included; rows that agree in all three take the plan's places in turn, so that each row is written once."""
+    spark = docs.sparkSession
+    after = plan.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"))
+    touched = plan.where("moved").select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
+    names = plan.select("shard").union(plan.select("old_shard")).distinct()
+    manifest = names.join(after, "shard", "left").join(touched.withColumn("_t", F.lit(True)), "shard", "left").select("shard", F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.coalesce("_t", F.lit(False)).alias("rewritten"))
+    folder = F.concat(F.when(F.col("rewritten"), f"{new_path}/data/shard=").otherwise(f"{old_path}/shard="), F.col("shard").cast("string"))
+    manifest = manifest.select("shard", "rows", F.when(F.col("rows") > 0, folder).alias("path"), "rewritten")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{new_path}/manifest")  # one row a shard
+    manifest = spark.read.parquet(f"{new_path}/manifest")
+
+    alike = W.partitionBy("_i", "_s", "_c").orderBy(F.lit(0))
+    to = plan.select(F.col("doc_id").alias("_i"), F.col("size").alias("_s"), F.col("text_crc32").alias("_c"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")).withColumn("_k", F.row_number().over(alike))
+    to = to.join(F.broadcast(manifest.where("rewritten").select(F.col("shard").alias("_shard"))), "_shard", "left_semi").withColumnRenamed("_k", "_place")
+    rows = docs.withColumn("_i", F.col("doc_id")).withColumn("_s", (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")).withColumn("_c", F.crc32(text_or_empty(text).cast("binary")))
+    rows = rows.withColumn("_k", F.row_number().over(alike)).select(*docs.columns, F.col("_s").alias("_size"), F.col("_c").alias("_crc"), "_k")
+    same = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_size") == F.col("_s")) & (F.col("_crc") == F.col("_c")) & (F.col("_k") == F.col("_place"))
+    full = rows.join(to, same).withColumn("_file", F.floor(F.col("_slot") / ROWS_A_FILE))
+    full = full.repartition("_shard", "_file").sortWithinPartitions("_shard", "_slot").select(*docs.columns, F.col("_shard").alias("shard"))
+    full.write.mode("overwrite").partitionBy("shard").parquet(f"{new_path}/data")
+    return manifest
+
+
+def read_layout(manifest: DataFrame) -> DataFrame:
+    """The rows of all shards that a manifest lists."""
+    paths = [r["path"] for r in manifest.where("path is not null").select("path").collect()]  # one a shard
+    return manifest.sparkSession.read.parquet(*paths)
 
 
 def old_by_source(n: int):
