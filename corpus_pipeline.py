@@ -16,33 +16,36 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored 0.5 or more go."""
+    """Documents scored 0.5 or more go; null and empty texts have the score of a text in which no voter finds anything."""
     scored = toxicity.score(docs, read(spark, sf_dir, "labels"), keep=COLUMNS[1:])
     return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays, once if its row repeats."""
-    first = jaccard.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Of each component the document with the smallest id stays, once if its row repeats. Rows of one id with different texts stay together; a component of
+    null ids alone keeps one row of each text. Texts are compared among rows of one id only."""
+    first = jaccard.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    kept = docs.select(*COLUMNS).join(materialize(first, "pipeline-first"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    once = kept.where("_n = 1").select(*COLUMNS)
+    return once.unionByName(kept.where("_n > 1").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; secrets that are no widely copied examples are masked."""
+    """Every document stays; the spans of live-looking secrets that are no widely copied examples are masked. n_chars follows; a null text stays null."""
     found = secrets.scan(docs, keep=COLUMNS[1:])
-    text = F.when(F.size("masked") > 0, secrets.masked_text(F.col("text"), F.col("masked"))).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
-    return out.withColumn("n_chars", F.when(F.size("masked") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+    hit = F.size("masks") > 0
+    out = found.withColumn("text", F.when(hit, secrets.masked_text(F.col("text"), F.col("masks"))).otherwise(F.col("text")))
+    return out.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it; documents without words are taken no time."""
     mixed = mixing.mix(docs, keep=("text", "lang", "n_chars")).where("copies > 0")
     return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows; a null text is the end mark alone."""
     return packing.pack(docs)
 
 
@@ -54,7 +57,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL can't express the learned classifier, the tokenizer and the tree join; tests hold run() against a brute-force version.
+#: SQL can't express the learned classifier and the tokenizer; tests hold each stage against a brute-force version on the small tables, the classifier against labels.
 ORACLE_SQL = None
 
 
