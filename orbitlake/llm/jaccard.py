@@ -346,7 +346,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
-    named = join_skewed(named.select("node", "doc_id", "weight", "root"), smallest, "root", "_root", "_n", n_tokens).join(degree, "node", "left").select(F.col("node").alias("_node"), "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "weight")
+    named = materialize(named.select("node", "doc_id", "weight", "root").join(smallest, F.col("root") == F.col("_root")).join(degree, "node", "left").select(F.col("node").alias("_node"), "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "weight"), "jaccard-named")
     slim = base.select("doc_id", F.col("n").alias("n_shingles"), "node")
     out = join_skewed(slim.where("n_shingles > 0"), named, "node", "_node", "weight", n_tokens).select("doc_id", "n_shingles", "component_id", "n_links")
     out = out.unionByName(slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast(kind).alias("component_id"), F.lit(0).cast("long").alias("n_links")))
