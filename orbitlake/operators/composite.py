@@ -88,8 +88,9 @@ def positional_pairs(df: DataFrame, keys: Sequence[str], interval: int, value: s
 
 
 def complete_starts(df: DataFrame, expected: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every expected window of every key; those without data have NULL values. expected holds a window a row, so it is small."""
-    every = df.select(*keys).distinct().select("*", F.lit(1).alias("_j")).join(expected.select("window_start", F.lit(1).alias("_j")), "_j").drop("_j")
+    """Every expected window of every key; those without data have NULL values. expected holds a window a row, so it is small: each key gets the starts as an array."""
+    starts = [r["window_start"] for r in expected.select("window_start").distinct().orderBy("window_start").collect()]  # one a window
+    every = df.select(*keys).distinct().select("*", F.explode(F.array(*map(F.lit, starts)).cast(f"array<{expected.schema['window_start'].dataType.simpleString()}>")).alias("window_start"))
     return every.join(df, [*keys, "window_start"], "left")
 
 

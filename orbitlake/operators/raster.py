@@ -15,15 +15,15 @@ def _size(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def pad_or_crop(df: DataFrame, height: int, width: int, keys: Sequence[str] = ("id",)) -> DataFrame:
-    """Each axis by itself: cropped around the centre if larger, else padded at its end by reflection (the edge is not repeated)."""
+    """Each axis by itself: cropped around the centre if larger, else padded at its end by reflection (the edge is not repeated), to and fro as often as it takes."""
     sized = df.join(_size(df, keys), list(keys))
 
     def target(i: str, n: str, want: int) -> Column:
         """Places in the new image that a pixel goes to."""
         shift = F.floor((F.col(n) - want) / 2).cast("int")
         cropped = F.when((F.col(i) >= shift) & (F.col(i) < shift + want), F.array(F.col(i) - shift)).otherwise(F.array().cast("array<int>"))
-        mirror = 2 * (F.col(n) - 1) - F.col(i)
-        padded = F.when((mirror >= F.col(n)) & (mirror < want), F.array(F.col(i), mirror)).otherwise(F.array(F.col(i)))
+        period = F.greatest(2 * (F.col(n) - 1), F.lit(1))
+        padded = F.filter(F.sequence(F.lit(0), F.lit(want - 1)), lambda j: (j % period == F.col(i)) | (j % period == period - F.col(i)) | (F.col(n) == 1))
         return F.when(F.col(n) > want, cropped).otherwise(padded)
 
     out = sized.withColumn("_r", F.explode(target("row", "_h", height))).withColumn("_c", F.explode(target("col", "_w", width)))
@@ -179,15 +179,31 @@ def detect_blobs(df: DataFrame, key: str = "id", min_sigma: float = 3.5, max_sig
     return df.groupBy(key).applyInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, row int, col int, sigma double")
 
 
-def detect_peaks(df: DataFrame, key: str = "id", threshold: float = 0.85, distance: int = 100) -> DataFrame:
-    """Pixels above the threshold that are no smaller than any pixel within distance, the strongest first, none within distance of a stronger one."""
+def _local_maximum(image: np.ndarray, distance: int) -> np.ndarray:
+    """The largest value within distance of each pixel, in both directions."""
+    for axis in (0, 1):
+        ends = [(distance, distance) if k == axis else (0, 0) for k in (0, 1)]
+        padded = np.pad(image, ends, constant_values=-np.inf)
+        image = np.lib.stride_tricks.sliding_window_view(padded, 2 * distance + 1, axis=axis).max(axis=-1)
+    return image
+
+
+def detect_peaks(df: DataFrame, key: str = "id", threshold: float = 0.85, distance: int = 100, border: int | None = None) -> DataFrame:
+    """Local maxima above the threshold: pixels no smaller than any within distance (in rows and columns), the strongest first, none within distance of one
+    taken before. The border of the image (distance pixels, unless given) has none. An image that is flat has none; missing and null pixels are below all others."""
+    rim = distance if border is None else border
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf[pdf["v"] > threshold].sort_values(["v", "row", "col"], ascending=[False, True, True])
+        image = np.full((int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1), -np.inf)
+        image[pdf["row"], pdf["col"]] = pdf["v"].fillna(-np.inf)
+        peak = (image == _local_maximum(image, distance)) & (image > max(threshold, image.min()))
+        inner = np.zeros_like(peak)
+        inner[rim : image.shape[0] - rim, rim : image.shape[1] - rim] = True
+        at = np.argwhere(peak & inner)
         kept: list[tuple[int, int, float]] = []
-        for r in rows.itertuples():
-            if all(max(abs(r.row - a), abs(r.col - b)) > distance for a, b, _ in kept):
-                kept.append((r.row, r.col, r.v))
+        for r, c in at[np.lexsort((at[:, 1], at[:, 0], -image[at[:, 0], at[:, 1]]))]:
+            if all(max(abs(r - a), abs(c - b)) > distance for a, b, _ in kept):
+                kept.append((r, c, image[r, c]))
         return pd.DataFrame([(pdf[key].iloc[0], *k) for k in kept], columns=[key, "row", "col", "v"])
 
     return df.groupBy(key).applyInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, row int, col int, v double")

@@ -11,9 +11,10 @@ from ..operators.composite import COMPOSITORS
 
 
 def monthly(stream: DataFrame, keys: Sequence[str], time: str = "ts", value: str = "v", method: str = "min", late: str = "10 days") -> DataFrame:
-    """Composites a calendar month: F.window has no months, so the truncated time is the key and thirty-one-day windows bound the state."""
-    marked = stream.withWatermark(time, late)
-    return marked.groupBy(F.window(time, "31 days").alias("span"), F.date_trunc("month", time).alias("month"), *keys).agg(COMPOSITORS[method](F.col(value)).alias(value))
+    """Composites a calendar month, one row a month and key. The month's first instant is the event time; as a month's scenes are up to 31 days younger
+    than it, the watermark waits for that long beyond late."""
+    months = stream.withColumn("month", F.date_trunc("month", time)).withWatermark("month", f"31 days {late}")
+    return months.groupBy("month", *keys).agg(COMPOSITORS[method](F.col(value)).alias(value))
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], time: str = "ts", late: str = "10 days") -> DataFrame:

@@ -97,6 +97,48 @@ def test_connected_chain(spark):
     assert {r.node: r.root for r in merge.connected(e).collect()} == {**{i: 0 for i in range(21)}, 100: 100, 101: 100}
 
 
+def test_monthly_streams_give_a_month_once(spark, tmp_path):
+    """Daily values of January and February: one mean a month, in append mode once the watermark has passed."""
+    import datetime as dt
+
+    from orbitlake.streaming import composites
+
+    day = lambda i: dt.datetime(2020, 1, 1) + dt.timedelta(days=i)
+    for k, days in enumerate((range(31), range(31, 60), [150], [200])):
+        frame(spark, [("a", day(i), float(day(i).day)) for i in days], "k string, ts timestamp, v double").coalesce(1).write.parquet(str(tmp_path / "in" / f"part={k}"))
+    files = spark.readStream.schema("k string, ts timestamp, v double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "part=*"))
+    q = composites.monthly(files, ["k"], value="v", method="mean").writeStream.outputMode("append").format("memory").queryName("months").start()
+    q.processAllAvailable()
+    q.stop()
+    got = [(r.month.month, r.v) for r in spark.sql("select month, v from months order by month").collect()]
+    assert got[:2] == [(1, 16.0), (2, 15.0)]
+
+
+def test_peaks_are_local_maxima(spark):
+    row = [0.9, 0.0, 0.8, 0.0, 0.7]
+    df = frame(spark, [(0, 0, c, v) for c, v in enumerate(row)], "id int, row int, col int, v double")
+    assert [r.v for r in raster.detect_peaks(df, threshold=0.5, distance=2, border=0).collect()] == [0.9]
+    rng = np.random.default_rng(3)
+    image, d = rng.random((40, 30)).round(3), 3
+    df = frame(spark, [(1, r, c, float(image[r, c])) for r in range(40) for c in range(30)], "id int, row int, col int, v double")
+    want, taken = set(), []
+    for r, c in sorted(np.ndindex(40, 30), key=lambda p: (-image[p], p)):
+        near = image[max(0, r - d) : r + d + 1, max(0, c - d) : c + d + 1]
+        if d <= r < 40 - d and d <= c < 30 - d and image[r, c] > 0.5 and image[r, c] == near.max() and all(max(abs(r - a), abs(c - b)) > d for a, b in taken):
+            taken.append((r, c))
+            want.add((r, c))
+    assert {(r.row, r.col) for r in raster.detect_peaks(df, threshold=0.5, distance=d).collect()} == want and len(want) > 5
+
+
+def test_padding_reflects_to_and_fro(spark):
+    for h, w, to in ((2, 3, 8), (1, 4, 5), (3, 1, 7)):
+        image = np.arange(h * w).reshape(h, w)
+        df = frame(spark, [(0, r, c, float(image[r, c])) for r in range(h) for c in range(w)], "id int, row int, col int, v double")
+        out = raster.pad_or_crop(df, to, to).toPandas()
+        assert len(out) == to * to
+        assert (out.pivot(index="row", columns="col", values="v").to_numpy() == np.pad(image, ((0, to - h), (0, to - w)), "reflect")).all()
+
+
 def test_greedy_match_takes_each_once(spark):
     left = frame(spark, [("a", 0, 0.0, 0.0), ("b", 1, 0.1, 0.0), ("c", 2, 5.0, 5.0)], "id string, seq long, lon double, lat double")
     right = frame(spark, [("x", 0, 0.05, 0.0), ("y", 1, 0.06, 0.0)], "id2 string, seq2 long, lon2 double, lat2 double")
