@@ -306,20 +306,65 @@ def trace_rings(mask: np.ndarray) -> list[list[tuple[int, int]]]:
 def contours(df: DataFrame, keys: Sequence[str], threshold: float = 0.5, scale: int = 4, max_masked: float = 0.1) -> DataFrame:
     """Footprints of each image: frames with max_masked or more missing pixels give none; the image is upscaled, brought to 0..255, blurred, cut at the threshold,
     and its regions' borders traced. One row a ring: keys, ring (array of struct x, y in pixels of the original), area (negative: a hole)."""
-    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if pdf["v"].isna().mean() < max_masked:
-            big = np.floor(np.clip(upscale(_image(pdf), scale), 0, 1) * 255)
-            soft = np.floor(blur(big, 4 * scale, 4.0) + 0.5)
-            for ring in trace_rings(soft > int(threshold * 255)):
-                pts = [(x / scale, y / scale) for x, y in ring]
-                area = sum(x0 * y1 - x1 * y0 for (x0, y0), (x1, y1) in zip(pts, pts[1:] + pts[:1])) / 2
-                out.append((*[pdf[k].iloc[0] for k in keys], [{"x": x, "y": y} for x, y in pts], area))
+        for ring in _soft_rings(pdf, threshold, scale, max_masked):
+            out.append((*[pdf[k].iloc[0] for k in keys], _points(ring, scale), shoelace(ring) / scale**2))
         return pd.DataFrame(out, columns=[*keys, "ring", "area"])
 
-    return df.groupBy(*keys).applyInPandas(run, f"{kinds}, ring array<struct<x: double, y: double>>, area double")
+    return df.groupBy(*keys).applyInPandas(run, f"{_kinds(df, keys)}, ring array<struct<x: double, y: double>>, area double")
+
+
+def _kinds(df: DataFrame, keys: Sequence[str]) -> str:
+    return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+
+
+def _soft_rings(pdf: pd.DataFrame, threshold: float, scale: int, max_masked: float) -> list[list[tuple[int, int]]]:
+    """Rings of an image upscaled, brought to 0..255, blurred and cut, in pixels of the upscaled one."""
+    if pdf["v"].isna().mean() >= max_masked:
+        return []
+    big = np.floor(np.clip(upscale(_image(pdf), scale), 0, 1) * 255)
+    return trace_rings(np.floor(blur(big, 4 * scale, 4.0) + 0.5) > int(threshold * 255))
+
+
+def _points(ring: list[tuple[int, int]], scale: int) -> list[dict]:
+    return [{"x": x / scale, "y": y / scale} for x, y in ring]
+
+
+def shoelace(ring: list[tuple[int, int]]) -> float:
+    return sum(a * d - c * b for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1])) / 2
+
+
+def polygons_of(rings: list[list[tuple[int, int]]]) -> list[list[list[tuple[int, int]]]]:
+    """Rings of trace_rings as polygons, each an outer ring and its holes. A hole belongs to the smallest outer ring around it; an island in a hole is a polygon of its own."""
+    outers = sorted((r for r in rings if shoelace(r) > 0), key=shoelace)
+    out = [[r] for r in outers]
+    edges = [(x := np.array(r, float), np.roll(x, -1, 0)) for r in outers]
+    for hole in (r for r in rings if shoelace(r) < 0):
+        (x0, y0), (x1, y1) = hole[0], hole[1]
+        # half a pixel along its first edge: on no other ring
+        x, y = x0 + np.sign(x1 - x0) / 2, y0 + np.sign(y1 - y0) / 2
+        for polygon, (a, b) in zip(out, edges):
+            crossed = (a[:, 1] > y) != (b[:, 1] > y)
+            at = a[crossed, 0] + (y - a[crossed, 1]) * (b[crossed, 0] - a[crossed, 0]) / (b[crossed, 1] - a[crossed, 1])
+            if (at > x).sum() % 2:
+                polygon.append(hole)
+                break
+    return out
+
+
+def footprints(df: DataFrame, keys: Sequence[str], threshold: float = 0.5, scale: int = 4, max_masked: float = 0.1) -> DataFrame:
+    """The contours of each image as polygons with holes, one row a polygon, the smallest first: keys, polygon (number from 1), rings (the outer one first, each an array of struct x, y
+    in pixels of the original), area (without the holes). All rows of an image are its MultiPolygon."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for i, rings in enumerate(polygons_of(_soft_rings(pdf, threshold, scale, max_masked)), 1):
+            out.append((*[pdf[k].iloc[0] for k in keys], i, [_points(r, scale) for r in rings], sum(map(shoelace, rings)) / scale**2))
+        return pd.DataFrame(out, columns=[*keys, "polygon", "rings", "area"])
+
+    return df.groupBy(*keys).applyInPandas(run, f"{_kinds(df, keys)}, polygon int, rings array<array<struct<x: double, y: double>>>, area double")
 
 
 def filter_scattered(rings: DataFrame, keys: Sequence[str], area: str = "area_m2", mean_km2: float = 0.003, least_m2: float = 100.0) -> DataFrame:

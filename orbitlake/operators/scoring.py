@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import portable_hash
+
 #: name -> function of a matrix (rows: samples) to the probability of the positive class.
 SCORERS: dict[str, Callable[[np.ndarray], np.ndarray]] = {}
 
@@ -93,7 +95,7 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def stable_split(df: DataFrame, share: float = 0.2, key: str = "id", seed: int = 42) -> DataFrame:
     """Adds is_test by a hash of the key: the same row falls the same way in every run and every partitioning."""
-    return df.withColumn("is_test", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000)) < int(share * 10_000))
+    return df.withColumn("is_test", portable_hash(F.lit(seed), key) % 10_000 < int(share * 10_000))
 
 
 def weak_labels(df: DataFrame, vote: Column, disagreement: Column, pixel: Column, svm: Column) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import spectral
+from ..functions.values import portable_hash
 from ..operators import scoring as S
 from ..sources import catalog
 from .analogues import OTHER_POINTS, PIXELS, POINTS, RASTERS, SITES, VECTORS, other_points, pixels, points, rasters, sites, table, vectors
@@ -87,21 +88,25 @@ query("o3_slices", "SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() O
     lambda s, d: table(s, d, "customer").withColumn("i", F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) - 1).where("i >= 3 and i % 4 = 0").select("c_nationkey", "c_custkey"))
 
 
-@query("o4_hash_sample")
+_hash = lambda text: f"CAST('0x' || md5({text})[1:8] AS BIGINT)"
+
+
+@query("o4_hash_sample", f"SELECT c_custkey FROM customer WHERE {_hash('CAST(c_custkey AS VARCHAR)')} % 10 = 0")
 def o4(spark, sf):
     """A tenth of the rows by a hash of the key: repeatable, without a shuffle."""
-    return table(spark, sf, "customer").where(F.pmod(F.xxhash64("c_custkey"), F.lit(10)) == 0).select("c_custkey")
+    return table(spark, sf, "customer").where(portable_hash("c_custkey") % 10 == 0).select("c_custkey")
 
 
-@query("o5_stable_split")
+@query("o5_stable_split", f"SELECT {_hash("'42:' || doc_id")} % 10000 < 2000 AS is_test, count(*) AS n FROM labels GROUP BY 1")
 def o5(spark, sf):
     return S.stable_split(table(spark, sf, "labels").withColumnRenamed("doc_id", "id")).groupBy("is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("o6_random_crop")
+@query("o6_random_crop", f"""SELECT id, CAST(row - r0 AS INT) AS row, CAST(col - c0 AS INT) AS col, v FROM (SELECT *, {_hash("'1:' || id")} % 5 AS r0, {_hash("'2:' || id")} % 5 AS c0 FROM {RASTERS})
+WHERE row BETWEEN r0 AND r0 + 3 AND col BETWEEN c0 AND c0 + 3""")
 def o6(spark, sf):
     """A 4 x 4 crop of each image at a place that its id decides."""
-    place = lambda seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(5)).cast("int")
+    place = lambda seed: (portable_hash(F.lit(seed), "id") % 5).cast("int")
     r = rasters(spark, sf).withColumn("r0", place(1)).withColumn("c0", place(2))
     return r.where("row between r0 and r0 + 3 and col between c0 and c0 + 3").select("id", (F.col("row") - F.col("r0")).alias("row"), (F.col("col") - F.col("c0")).alias("col"), "v")
 

@@ -37,9 +37,15 @@ query("g16_scattered", f"""WITH p AS (SELECT id, row, col, abs(v) * 2000 AS m2 F
 query("g15_polygon_area", f"SELECT id, round(0.01 * (0.02 + v / 10), 8) AS area FROM {RASTERS} WHERE row = 0 AND col = 0")(
     lambda s, d: rasters(s, d).where("row = 0 and col = 0").select("id", R(geo.ring_area(geo.ring_of(geo.rect(F.lit(0.0), F.lit(0.0), F.lit(0.01), 0.02 + F.col("v") / 10))), 8).alias("area")))
 query("g4_blobs")(lambda s, d: G.detect_blobs(rasters(s, d), min_sigma=1.0, max_sigma=3.0, threshold=1e-4, prediction=0.1))
-query("g5_peaks")(lambda s, d: G.detect_peaks(rasters(s, d), threshold=0.2, distance=2))
+query("g5_peaks", f"""SELECT a.id, a.row, a.col, a.v FROM {RASTERS} a JOIN {RASTERS} b ON a.id = b.id AND abs(a.row - b.row) <= 2 AND abs(a.col - b.col) <= 2
+WHERE a.row BETWEEN 2 AND 5 AND a.col BETWEEN 2 AND 5 AND a.v > 0.2 GROUP BY ALL HAVING a.v >= max(b.v)""")(lambda s, d: G.detect_peaks(rasters(s, d), threshold=0.2, distance=2))
 query("g12_contours")(lambda s, d: G.contours(rasters(s, d).withColumn("v", F.col("v") + 0.5), ["id"]))
-query("g17_regions")(lambda s, d: G.vectorize(rasters(s, d), "id", 0.1))
+query("g12_footprints")(lambda s, d: G.footprints(rasters(s, d).withColumn("v", F.col("v") + 0.5), ["id"]))
+query("g17_regions", f"""WITH RECURSIVE m AS (SELECT id, row, col FROM {RASTERS} WHERE v > 0.1),
+reach AS (SELECT id, row, col, 8 * row + col AS root FROM m UNION SELECT m.id, m.row, m.col, r.root FROM reach r JOIN m ON m.id = r.id AND abs(m.row - r.row) <= 1 AND abs(m.col - r.col) <= 1),
+c AS (SELECT id, row, col, min(root) AS root FROM reach GROUP BY ALL)
+SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY root) AS INT) AS component, CAST(count(*) AS INT) AS pixels, min(row) AS min_row, min(col) AS min_col, max(row) AS max_row, max(col) AS max_col
+FROM c GROUP BY id, root""")(lambda s, d: G.vectorize(rasters(s, d), "id", 0.1))
 
 _W = (0.4, -0.3, 0.2, -0.1, 0.05, 0.1, -0.2, 0.3, 0.0, 0.1, -0.05, 0.15)
 _zsum = " + ".join(f"(bands[{i + 1}] / 3000) * {w}::DOUBLE" for i, w in enumerate(_W))

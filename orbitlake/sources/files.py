@@ -5,11 +5,12 @@ All readers go through Spark's own, so that any store it reaches works.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +44,21 @@ def feature_collection(df: DataFrame, lon: str = "lon", lat: str = "lat") -> Dat
     return df.agg(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), F.collect_list(feature).alias("features"))).alias("value"))
 
 
+def write_polygons(df: DataFrame, path: str, rings: str = "rings") -> None:
+    """One Polygon feature a line; rings: array of rings (arrays of struct x, y), the outer one first, closed here; all other columns become properties."""
+    rest = [F.col(f"`{c}`") for c in df.columns if c != rings]
+    closed = F.transform(rings, lambda r: F.transform(F.concat(r, F.slice(r, 1, 1)), lambda p: F.array(p["x"], p["y"])))
+    feature = F.struct(F.lit("Feature").alias("type"), F.struct(F.lit("Polygon").alias("type"), closed.alias("coordinates")).alias("geometry"), F.struct(*rest).alias("properties"))
+    df.select(F.to_json(feature).alias("value")).write.mode("overwrite").text(path)
+
+
+def polygon_rings(geometry: str) -> Column:
+    """The rings of a text column that holds a Polygon geometry as JSON (a .geo column, say), as write_polygons takes them: closing points left out. Other geometries give NULL."""
+    g = F.from_json(geometry, f"type string, coordinates {POLYGON}")
+    rings = F.transform(g["coordinates"], lambda r: F.transform(F.slice(r, 1, F.greatest(F.size(r) - 1, F.lit(0))), lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))))
+    return F.when(g["type"] == "Polygon", rings)
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, lists: dict[str, str] | None = None, drop: tuple[str, ...] = ()) -> DataFrame:
     """CSV with a header. lists: text columns that hold JSON lists, with their element types. drop: columns to leave out (an unnamed index column, say)."""
     df = spark.read.schema(schema).csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=True).drop(*drop)
@@ -98,6 +114,75 @@ def read_raster_window(rasters: DataFrame, window: int) -> DataFrame:
     return rasters.withColumn("block_row", F.floor(F.col("row") / window).cast("int")).withColumn("block_col", F.floor(F.col("col") / window).cast("int"))
 
 
+#: TIFF tags and field types that the reader knows.
+WIDTH, HEIGHT, BITS, COMPRESSION, SAMPLES, ROWS_PER_STRIP, PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, SAMPLE_FORMAT, NODATA = 256, 257, 258, 259, 277, 278, 284, 317, 322, 323, 339, 42113
+STRIPS, TILES = (273, 279), (324, 325)
+FIELD_TYPES = {1: "u1", 2: "S1", 3: "u2", 4: "u4", 6: "i1", 8: "i2", 9: "i4", 11: "f4", 12: "f8"}
+RAW, DEFLATE = 1, (8, 32946)
+
+
+def tiff_blocks(content: bytes, band: int = 0) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Row and column of the first pixel, and values (float64, no data as NaN), of each strip or tile of a band of the file's first image. Uncompressed or deflated, integers or floats."""
+    order = {b"II": "<", b"MM": ">"}.get(content[:2])
+    if order is None or np.frombuffer(content, order + "u2", 1, 2)[0] != 42:
+        raise ValueError("not a TIFF file of 32-bit offsets")
+    at = int(np.frombuffer(content, order + "u4", 1, 4)[0])
+    tags: dict[int, np.ndarray] = {}
+    for i in range(int(np.frombuffer(content, order + "u2", 1, at)[0])):
+        entry = at + 2 + 12 * i
+        tag, kind = (int(x) for x in np.frombuffer(content, order + "u2", 2, entry))
+        if kind in FIELD_TYPES:
+            n, where = (int(x) for x in np.frombuffer(content, order + "u4", 2, entry + 4))
+            dtype = np.dtype(FIELD_TYPES[kind]).newbyteorder(order)
+            tags[tag] = np.frombuffer(content, dtype, n, entry + 8 if n * dtype.itemsize <= 4 else where)
+    one = lambda tag, default=None: int(tags[tag][0]) if tag in tags else default
+    width, height, samples, planar = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(PLANAR, 1) == 2
+    compression, predictor = one(COMPRESSION, RAW), one(PREDICTOR, 1)
+    if compression not in (RAW, *DEFLATE) or predictor not in (1, 2) or not 0 <= band < samples or one(BITS, 1) not in (8, 16, 32, 64):
+        raise ValueError(f"TIFF: compression {compression}, predictor {predictor}, {one(BITS, 1)} bits or band {band} of {samples} can't be read")
+    dtype = np.dtype(f"{ {1: 'u', 2: 'i', 3: 'f'}[one(SAMPLE_FORMAT, 1)]}{one(BITS) // 8}").newbyteorder(order)
+    nodata = float(tags[NODATA].tobytes().strip(b"\0 ") or b"nan") if NODATA in tags else np.nan
+    tiled = TILES[0] in tags
+    w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
+    offsets, sizes = (tags[t] for t in (TILES if tiled else STRIPS))
+    across, depth = -(-width // w), 1 if planar else samples
+    per_band = across * -(-height // h)
+    for k in range(per_band):
+        i = k + per_band * band * planar
+        data = content[int(offsets[i]) : int(offsets[i]) + int(sizes[i])]
+        if compression in DEFLATE:
+            data = zlib.decompress(data)
+        row, col = k // across * h, k % across * w
+        rows = h if tiled else min(h, height - row)
+        block = np.frombuffer(data, dtype, rows * w * depth).reshape(rows, w, depth)
+        if predictor == 2:
+            block = np.cumsum(block, axis=1, dtype=dtype.newbyteorder("="))
+        block = block[: height - row, : width - col, 0 if planar else band].astype(float)
+        yield row, col, np.where(block == nodata, np.nan, block)
+
+
+def read_geotiff(spark: SparkSession, path: str, band: int = 0, glob: str = "*.tif") -> DataFrame:
+    """Pixels of a band of all TIFF files: file, row, col, v (NULL for no data). A file is one row of a scan (2 GB at most) and is decoded strip by strip or tile by tile."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"]):
+                for row, col, block in tiff_blocks(content, band):
+                    r, c = np.indices(block.shape)
+                    v = pd.Series(block.ravel()).astype(object).where(~np.isnan(block.ravel()), None) if np.isnan(block).any() else block.ravel()
+                    yield pd.DataFrame({"file": name.rsplit("/", 1)[-1], "row": r.ravel() + row, "col": c.ravel() + col, "v": v})
+
+    return spark.read.format("binaryFile").load(path, pathGlobFilter=glob).select("path", "content").mapInPandas(run, "file string, row int, col int, v double")
+
+
+def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
+    """The Parquet table at path if it was written whole, else that of compute, which is written there first."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        compute().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_bands(df: DataFrame, path: str, nodata: float = -1.0, value: str = "v") -> None:
     """A multi-band raster as Parquet by tile and band; NULL becomes nodata at this boundary."""
     df.withColumn(value, F.coalesce(value, F.lit(nodata))).write.mode("overwrite").partitionBy("tile_id", "band").parquet(path)
