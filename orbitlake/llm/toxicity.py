@@ -217,6 +217,9 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
         learned = seen.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()  # 2 ** N_VOTERS rows at most
         model = LabelModel(np.array([votes(r["code"]) for r in learned]), np.array([r["n"] for r in learned], float), share, WEAK)
         fold = seen.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "hits", "patterns", "code")
+        # each task sends its first rows to the driver: of the hashes, the lowest that hold four times the sample will do
+        reach = min(4 * sample / max(sum(r["n"] for r in learned), 1), 1.0)
+        fold = fold.where(F.xxhash64("doc_id") <= min(-(1 << 63) + int(reach * (1 << 64)), (1 << 63) - 1))
         fit = fold.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()  # sample rows at most
         if len(fit):
             weights = train_linear(_features(list(fit["hits"]), list(fit["patterns"]), n), model.posterior(np.array([votes(c) for c in fit["code"]])))
