@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, one an operator, and their SQL where SQL can express them."""
 
-from . import ann, hostrules, importance, jaccard, mixing, packing, secrets, sharding, substrings, toxicity
+from . import ann, divergence, hostrules, importance, jaccard, mixing, packing, secrets, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_jaccard": jaccard.op9_jaccard,
     "op10_substrings": substrings.op10_substrings,
+    "op11_divergence": divergence.op11_divergence,
 }
-ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE, "op9_jaccard": jaccard.ORACLE, "op10_substrings": substrings.ORACLE}
+ORACLES = {"op3_secrets": secrets.ORACLE, "op6_hostrules": hostrules.ORACLE, "op8_mixing": mixing.ORACLE, "op9_jaccard": jaccard.ORACLE, "op10_substrings": substrings.ORACLE, "op11_divergence": divergence.ORACLE}
