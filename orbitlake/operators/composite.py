@@ -28,16 +28,21 @@ def windows(df: DataFrame, start: str, end: str, months: int, step: int | None =
     """One row per (row, window that holds its date), with window_start. Windows begin every step months (default: months) from start.
 
     inclusive: both ends belong, so a boundary date lies in two windows, and windows go on until one ends at or after end + months. whole: both ends
-    belong, only windows that end by end. half_open: [start, start + months). The rows are exploded to their own one or two windows: no range join."""
+    belong, only windows that end by end. until: both ends belong, and the last window is the first one that ends at or after end. half_open: [start, start + months).
+    The rows are exploded to their own one or two windows: no range join."""
     step = step or months
     first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    limit = F.add_months(last, months) if mode == "inclusive" else last if mode == "whole" else F.add_months(last, months)
+    limit = last if mode == "whole" else F.add_months(last, months)
     ordinal = F.floor(F.months_between(F.trunc("date", "month"), F.trunc(first, "month")) / step).cast("int")
     back = -(-months // step) + 1
     near = F.sequence(F.greatest(F.lit(0), ordinal - back), F.greatest(F.lit(0), ordinal + 1))
     out = df.withColumn("_k", F.explode(near)).withColumn("window_start", F.add_months(first, F.col("_k") * step)).withColumn("_e", F.add_months(first, F.col("_k") * step + months))
     inside = (F.col("date") >= F.col("window_start")) & ((F.col("date") < F.col("_e")) if mode == "half_open" else (F.col("date") <= F.col("_e")))
-    return out.where(inside & (F.col("_e") <= limit)).drop("_k", "_e")
+    if mode == "until":
+        allowed = (F.col("_k") == 0) | (F.add_months(first, (F.col("_k") - 1) * step + months) < last)
+    else:
+        allowed = F.col("_e") <= limit
+    return out.where(inside & allowed).drop("_k", "_e")
 
 
 def starts(spark, start: str, end: str, months: int, length: int = 1) -> DataFrame:

@@ -17,19 +17,18 @@ def span(px):
 
 
 def history(px, months: int = 3, step: int | None = None, mode: str = "inclusive"):
-    """Pixels in all windows that hold their date. A batch counts as whole when it holds the last date: the table is all there is."""
+    """Pixels in all windows that hold their date, from the month of the least date on; the greatest date is the end."""
     first, last = span(px)
-    if mode == "whole":  # the last batches end after the last date
-        mode = "inclusive"
     return C.windows(px, first, last, months, step, mode)
 
 
-def all_windows(months: int, step: int, low: str = "<=") -> str:
-    """Pixels with window_start, for every window from the least date's month to the greatest date; without a limit on their ends."""
+def all_windows(months: int, step: int, low: str = "<=", limit: str = "true") -> str:
+    """Pixels with window_start, for every window from the least date's month to the greatest date that the limit allows (k: number of the window, e: its end, before: that of the one before, last: greatest date)."""
     return f"""(WITH b AS (SELECT date_trunc('month', min(date))::DATE AS first, max(date) AS last FROM {PIXELS}),
     k AS (SELECT first, unnest(range(0, datediff('month', first, last) // {step} + 1)) AS k FROM b),
-    w AS (SELECT CAST(first + to_months(CAST({step} * k AS INT)) AS DATE) AS window_start, CAST(first + to_months(CAST({step} * k + {months} AS INT)) AS DATE) AS e FROM k)
-    SELECT p.*, w.window_start FROM {PIXELS} p JOIN w ON p.date >= w.window_start AND p.date {low} w.e)"""
+    w AS (SELECT k, last, CAST(first + to_months(CAST({step} * k AS INT)) AS DATE) AS window_start, CAST(first + to_months(CAST({step} * k + {months} AS INT)) AS DATE) AS e,
+      CAST(first + to_months(CAST({step} * (k - 1) + {months} AS INT)) AS DATE) AS before FROM (SELECT *, (SELECT last FROM b) AS last FROM k))
+    SELECT p.*, w.window_start FROM {PIXELS} p JOIN w ON p.date >= w.window_start AND p.date {low} w.e AND {limit})"""
 
 
 SEEN = all_windows(3, 3)
@@ -85,11 +84,11 @@ def windowed(months: int, step: int, mode: str):
     return lambda s, d: history(pixels(s, d), months, step, mode).groupBy("tile_id", "window_start").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
 
 
-def windowed_sql(months: int, step: int, low: str) -> str:
-    return f"SELECT tile_id, window_start, count(*) AS n, min(v) AS v FROM {all_windows(months, step, low)} GROUP BY 1, 2"
+def windowed_sql(months: int, step: int, low: str, limit: str = "true") -> str:
+    return f"SELECT tile_id, window_start, count(*) AS n, min(v) AS v FROM {all_windows(months, step, low, limit)} GROUP BY 1, 2"
 
 
 query("t1_tumbling_inclusive_all", windowed_sql(3, 3, "<="))(windowed(3, 3, "inclusive"))
-query("t2_whole_batches_all", windowed_sql(6, 6, "<="))(windowed(6, 6, "whole"))
-query("t4_sliding_all", windowed_sql(4, 2, "<="))(windowed(4, 2, "whole"))
+query("t2_whole_batches_all", windowed_sql(6, 6, "<=", "e <= last"))(windowed(6, 6, "whole"))
+query("t4_sliding_all", windowed_sql(4, 2, "<=", "(k = 0 OR before < last)"))(windowed(4, 2, "until"))
 query("t5_monthly_history_all", windowed_sql(1, 1, "<"))(windowed(1, 1, "half_open"))
