@@ -54,7 +54,7 @@ query("p9_total_bounds", f"SELECT min(lon) AS minx, min(lat) AS miny, max(lon) A
 
 @query("p10_h3_cell")
 def p10(spark, sf):
-    """H3 index at resolution 15 of each point, in degrees a hundred times as far apart; no SQL twin."""
+    """H3 index at resolution 15 of each point, in degrees a hundred times as far apart; no SQL twin, tests hold the function against indexes of real sites."""
     return points(spark, sf).select("id", h3.h3_cell(F.col("lat") * 100, F.col("lon") * 100).alias("h3"))
 
 
