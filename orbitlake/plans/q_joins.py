@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import merge, spatial
+from ..operators import merge, position, spatial
 from ..sources import catalog
 from .analogues import OTHER_POINTS, PIXELS, POINTS, SITES, other_points, pixels, points, sites, table
 from .registry import query
@@ -85,7 +85,11 @@ def j6(spark, sf):
     return spatial.rect_pairs(tiles, rects(spark, sf).withColumnRenamed("rect", "rect_b"), 0.06).select("id").distinct()
 
 
-@query("j10_greedy_match")
+@query("j10_greedy_match", f"""WITH RECURSIVE p AS (SELECT a.id, b.id AS id2 FROM {POINTS} a JOIN {OTHER_POINTS} b ON sqrt((a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat)) < 0.02),
+c AS (SELECT row_number() OVER (ORDER BY id) AS k, id, list(id2 ORDER BY id2) AS choices FROM p GROUP BY id),
+g AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS taken, NULL::BIGINT AS id, NULL::BIGINT AS id2
+  UNION ALL SELECT k, CASE WHEN m IS NULL THEN taken ELSE list_append(taken, m) END, id, m FROM (SELECT c.k, taken, c.id, list_filter(choices, lambda x: NOT list_contains(taken, x))[1] AS m FROM g JOIN c ON c.k = g.k + 1))
+SELECT id, id2 FROM g WHERE id2 IS NOT NULL""")
 def j10(spark, sf):
     left = points(spark, sf).select("id", F.col("id").alias("seq"), "lon", "lat")
     right = other_points(spark, sf).select(F.col("id").alias("id2"), F.col("id").alias("seq2"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
@@ -123,6 +127,18 @@ query("k5_band_catalog", "SELECT n_name AS name, 4 + row_number() OVER (ORDER BY
     lambda s, d: catalog.create_missing(table(s, d, "region").select(F.col("r_name").alias("name"), F.col("r_regionkey").alias("index")), table(s, d, "nation").select(F.col("n_name").alias("name")), "name"))
 
 
+_EVENTS = "(SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS position FROM events)"
+_ORDERS = "(SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS position FROM orders)"
+
+
+def zipped(s, d, how):
+    return position.zipped(table(s, d, "orders").select("o_orderkey", "o_totalprice"), table(s, d, "events").select("event_id", "ts"), [F.desc("o_totalprice"), F.asc("o_orderkey")], [F.asc("ts"), F.asc("event_id")], how).select("position", F.coalesce("o_orderkey", F.lit(-1)).alias("o_orderkey"), F.coalesce("event_id", F.lit(-1)).alias("event_id"))
+
+
+query("j21_zip", f"SELECT position, o_orderkey, event_id FROM {_ORDERS} JOIN {_EVENTS} USING (position)")(lambda s, d: zipped(s, d, "inner"))
+query("j21_zip_longest", f"SELECT position, coalesce(o_orderkey, -1) AS o_orderkey, coalesce(event_id, -1) AS event_id FROM {_ORDERS} FULL JOIN {_EVENTS} USING (position)")(lambda s, d: zipped(s, d, "full"))
+
+
 @query("c1_merge_sites")
 def c1(spark, sf):
     return merge.merge_sites(points(spark, sf), 0.01).select(R("lon", 8).alias("lon"), R("lat", 8).alias("lat"), "members")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, spectral
 from ..operators import raster as G
 from ..operators import scoring as S
+from ..operators import tolerant
 from .analogues import RASTERS, VECTORS, rasters, table, vectors
 from .registry import query
 
@@ -94,3 +95,15 @@ def l6(spark, sf):
     v = S.stable_split(vectors(spark, sf).select("id", (F.col("label") < 5).cast("int").alias("label"), array_to_vector("bands").alias("features")))
     model = RandomForestClassifier(numTrees=10, maxDepth=4, seed=7).fit(v.where("not is_test"))
     return model.transform(v.where("is_test")).select("id", "label", F.col("prediction").cast("int").alias("prediction"))
+
+
+@query("x6_failed_tiles", f"""SELECT id, CASE WHEN max(v) <= 0.25 THEN round(sum(v), 6) END AS total, CASE WHEN max(v) > 0.25 THEN 'ValueError: saturated' END AS error FROM {RASTERS} GROUP BY id""")
+def x6(spark, sf):
+    """A kernel that raises on saturated tiles: their rows have the reason."""
+
+    def total(pdf):
+        if pdf["v"].max() > 0.25:
+            raise ValueError("saturated")
+        return pdf.groupby("id", as_index=False)["v"].sum().rename(columns={"v": "total"})
+
+    return tolerant.apply_groups(rasters(spark, sf), ["id"], total, "id bigint, total double").withColumn("total", R("total"))
