@@ -1,6 +1,6 @@
 """All registered queries: importing this module fills the registry."""
 
-from . import q_aggregates, q_columns, q_filters, q_history, q_joins, q_rasters, q_windows  # noqa: F401
+from . import q_aggregates, q_columns, q_filters, q_history, q_joins, q_polygons, q_rasters, q_windows  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
 
 # Names that once read a part of their tables run the whole job that name_all names: all vectors, and windows over the table's own range of dates.
