@@ -5,7 +5,6 @@ All readers go through Spark's own, so that any store it reaches works.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .tiff import Layout
+
 POINT = "array<double>"
 POLYGON = "array<array<array<double>>>"
 MULTIPOLYGON = "array<array<array<array<double>>>>"
@@ -114,51 +115,12 @@ def read_raster_window(rasters: DataFrame, window: int) -> DataFrame:
     return rasters.withColumn("block_row", F.floor(F.col("row") / window).cast("int")).withColumn("block_col", F.floor(F.col("col") / window).cast("int"))
 
 
-#: TIFF tags and field types that the reader knows.
-WIDTH, HEIGHT, BITS, COMPRESSION, SAMPLES, ROWS_PER_STRIP, PLANAR, PREDICTOR, TILE_WIDTH, TILE_HEIGHT, SAMPLE_FORMAT, NODATA = 256, 257, 258, 259, 277, 278, 284, 317, 322, 323, 339, 42113
-STRIPS, TILES = (273, 279), (324, 325)
-FIELD_TYPES = {1: "u1", 2: "S1", 3: "u2", 4: "u4", 6: "i1", 8: "i2", 9: "i4", 11: "f4", 12: "f8"}
-RAW, DEFLATE = 1, (8, 32946)
-
-
 def tiff_blocks(content: bytes, band: int = 0) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Row and column of the first pixel, and values (float64, no data as NaN), of each strip or tile of a band of the file's first image. Uncompressed or deflated, integers or floats."""
-    order = {b"II": "<", b"MM": ">"}.get(content[:2])
-    if order is None or np.frombuffer(content, order + "u2", 1, 2)[0] != 42:
-        raise ValueError("not a TIFF file of 32-bit offsets")
-    at = int(np.frombuffer(content, order + "u4", 1, 4)[0])
-    tags: dict[int, np.ndarray] = {}
-    for i in range(int(np.frombuffer(content, order + "u2", 1, at)[0])):
-        entry = at + 2 + 12 * i
-        tag, kind = (int(x) for x in np.frombuffer(content, order + "u2", 2, entry))
-        if kind in FIELD_TYPES:
-            n, where = (int(x) for x in np.frombuffer(content, order + "u4", 2, entry + 4))
-            dtype = np.dtype(FIELD_TYPES[kind]).newbyteorder(order)
-            tags[tag] = np.frombuffer(content, dtype, n, entry + 8 if n * dtype.itemsize <= 4 else where)
-    one = lambda tag, default=None: int(tags[tag][0]) if tag in tags else default
-    width, height, samples, planar = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(PLANAR, 1) == 2
-    compression, predictor = one(COMPRESSION, RAW), one(PREDICTOR, 1)
-    if compression not in (RAW, *DEFLATE) or predictor not in (1, 2) or not 0 <= band < samples or one(BITS, 1) not in (8, 16, 32, 64):
-        raise ValueError(f"TIFF: compression {compression}, predictor {predictor}, {one(BITS, 1)} bits or band {band} of {samples} can't be read")
-    dtype = np.dtype(f"{ {1: 'u', 2: 'i', 3: 'f'}[one(SAMPLE_FORMAT, 1)]}{one(BITS) // 8}").newbyteorder(order)
-    nodata = float(tags[NODATA].tobytes().strip(b"\0 ") or b"nan") if NODATA in tags else np.nan
-    tiled = TILES[0] in tags
-    w, h = (one(TILE_WIDTH), one(TILE_HEIGHT)) if tiled else (width, min(one(ROWS_PER_STRIP, height), height))
-    offsets, sizes = (tags[t] for t in (TILES if tiled else STRIPS))
-    across, depth = -(-width // w), 1 if planar else samples
-    per_band = across * -(-height // h)
-    for k in range(per_band):
-        i = k + per_band * band * planar
-        data = content[int(offsets[i]) : int(offsets[i]) + int(sizes[i])]
-        if compression in DEFLATE:
-            data = zlib.decompress(data)
-        row, col = k // across * h, k % across * w
-        rows = h if tiled else min(h, height - row)
-        block = np.frombuffer(data, dtype, rows * w * depth).reshape(rows, w, depth)
-        if predictor == 2:
-            block = np.cumsum(block, axis=1, dtype=dtype.newbyteorder("="))
-        block = block[: height - row, : width - col, 0 if planar else band].astype(float)
-        yield row, col, np.where(block == nodata, np.nan, block)
+    """Row and column of the first pixel, and values (float64, no data as NaN), of each strip or tile of a band of the file's first image."""
+    read = lambda at, size: content[at : at + size]
+    layout = Layout(read)
+    for k in range(layout.blocks(band)):
+        yield layout.block(read, k, band)
 
 
 def read_geotiff(spark: SparkSession, path: str, band: int = 0, glob: str = "*.tif") -> DataFrame:
