@@ -240,20 +240,28 @@ def blur(image: np.ndarray, radius: int, sigma: float) -> np.ndarray:
 
 
 def label_components(mask: np.ndarray) -> np.ndarray:
-    """8-connected components, numbered from 1 in row order."""
-    label = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
-    while True:
-        p = np.pad(label, 1)
-        best = label
-        for a in range(3):
-            for b in range(3):
-                q = p[a : a + label.shape[0], b : b + label.shape[1]]
-                best = np.where(mask & (q > 0), np.minimum(best, q), best)
-        if (best == label).all():
-            break
-        label = best
-    out = np.zeros_like(label)
-    out[mask] = np.unique(label[mask], return_inverse=True)[1] + 1
+    """8-connected components, numbered from 1 in row order: runs of pixels, joined where runs of neighbouring rows meet."""
+    rows, ends = np.nonzero(np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1))
+    row, start, stop = rows[::2], ends[::2], ends[1::2]
+    root = list(range(len(row)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    width = mask.shape[1] + 2
+    # runs of the row above that end no earlier than a pixel before the run, up to those that begin no later than a pixel after it
+    low = np.searchsorted(row * width + stop, (row - 1) * width + start, side="left")
+    high = np.searchsorted(row * width + start, (row - 1) * width + stop, side="right")
+    for i, (a, b) in enumerate(zip(low.tolist(), high.tolist())):
+        for j in range(a, b):
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+    _, number = np.unique([find(i) for i in range(len(row))], return_inverse=True)
+    out = np.zeros(mask.shape, np.int64)
+    out[mask] = np.repeat(number + 1, stop - start)
     return out
 
 
@@ -262,11 +270,10 @@ def vectorize(df: DataFrame, key: str, threshold: float) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         lab = label_components(_image(pdf) > threshold)
-        rows = []
-        for c in range(1, lab.max() + 1):
-            r, k = np.nonzero(lab == c)
-            rows.append((pdf[key].iloc[0], c, len(r), r.min(), k.min(), r.max(), k.max()))
-        return pd.DataFrame(rows, columns=[key, "component", "pixels", "min_row", "min_col", "max_row", "max_col"])
+        r, k = np.nonzero(lab)
+        found = pd.DataFrame({"component": lab[r, k], "r": r, "k": k}).groupby("component", as_index=False).agg(pixels=("r", "size"), min_row=("r", "min"), min_col=("k", "min"), max_row=("r", "max"), max_col=("k", "max"))
+        found.insert(0, key, pdf[key].iloc[0])
+        return found
 
     return df.groupBy(key).applyInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, component int, pixels int, min_row int, min_col int, max_row int, max_col int")
 
@@ -282,8 +289,9 @@ def trace_rings(mask: np.ndarray) -> list[list[tuple[int, int]]]:
             if not other:
                 edges.setdefault(a, []).append(b)
     rings = []
-    while edges:
-        start = min(edges)
+    for start in [p for p in sorted(edges) for _ in edges[p]]:
+        if start not in edges:
+            continue
         ring, at, before = [], start, None
         while True:
             nexts = edges[at]

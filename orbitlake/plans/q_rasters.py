@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo, spectral
+from ..operators import borders
 from ..operators import raster as G
 from ..operators import scoring as S
 from ..operators import tolerant
@@ -107,3 +108,19 @@ def x6(spark, sf):
         return pdf.groupby("id", as_index=False)["v"].sum().rename(columns={"v": "total"})
 
     return tolerant.apply_groups(rasters(spark, sf), ["id"], total, "id bigint, total double").withColumn("total", R("total"))
+
+
+@query("g12_border_hierarchy", f"""WITH RECURSIVE m AS (SELECT id, row, col FROM {RASTERS} WHERE v > 0.05),
+near AS (SELECT id, row, col, 8 * row + col AS root FROM m UNION SELECT m.id, m.row, m.col, n.root FROM near n JOIN m ON m.id = n.id AND abs(m.row - n.row) <= 1 AND abs(m.col - n.col) <= 1),
+regions AS (SELECT id, count(*) FILTER (root = 8 * row + col) AS regions FROM (SELECT id, row, col, min(root) AS root FROM near GROUP BY ALL) GROUP BY 1),
+b AS (SELECT i.id, r.i AS row, c.i AS col FROM (SELECT DISTINCT id FROM m) i, range(-1, 9) r(i), range(-1, 9) c(i) ANTI JOIN m ON m.id = i.id AND m.row = r.i AND m.col = c.i),
+far AS (SELECT id, row, col, 10 * row + col AS root FROM b UNION SELECT b.id, b.row, b.col, f.root FROM far f JOIN b ON b.id = f.id AND abs(b.row - f.row) + abs(b.col - f.col) = 1),
+holes AS (SELECT id, count(*) FILTER (root = 10 * row + col) - 1 AS holes FROM (SELECT id, row, col, min(root) AS root FROM far GROUP BY ALL) GROUP BY 1)
+SELECT id, regions, holes FROM regions JOIN holes USING (id)""")
+def hierarchy(spark, sf):
+    """Outer borders and holes of each raster's pixels above a threshold."""
+    found = borders.traced(rasters(spark, sf), ["id"], 0.05, soft=False)
+    return found.groupBy("id").agg(F.count_if(~F.col("hole")).alias("regions"), F.count_if("hole").alias("holes"))
+
+
+query("g12_soft_borders")(lambda s, d: borders.traced(rasters(s, d).withColumn("v", F.col("v") + 0.5), ["id"]))
