@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo, spectral
-from ..operators import borders
+from ..operators import borders, learning
 from ..operators import raster as G
 from ..operators import scoring as S
 from ..operators import tolerant
@@ -124,3 +124,17 @@ def hierarchy(spark, sf):
 
 
 query("g12_soft_borders")(lambda s, d: borders.traced(rasters(s, d).withColumn("v", F.col("v") + 0.5), ["id"]))
+
+
+@query("l10_nmf")
+def factors(spark, sf):
+    """Weights of two non-negative components; no SQL twin, tests hold the operator against numpy from the same start."""
+    got, _, _ = learning.nmf(vectors(spark, sf).select("id", F.transform("bands", lambda x: F.greatest(x / 3000, F.lit(0.0))).alias("x")), k=2, rounds=30)
+    return got.select("id", R(F.get("weights", 0)).alias("w0"), R(F.get("weights", 1)).alias("w1"))
+
+
+@query("l7_radial_machine")
+def machine(spark, sf):
+    """Decisions of a support vector machine with a radial kernel; no SQL twin, tests hold the operator against an exact dual solution."""
+    rows = vectors(spark, sf).select("id", F.transform("bands", lambda x: x / 3000).alias("x"), (F.col("label") < 5).cast("int").alias("label"))
+    return learning.fit_radial_machine(rows, landmarks=100, rounds=10).score(rows.select("id", "label", "x")).select("id", "label", (F.col("decision") > 0).cast("int").alias("prediction"))
