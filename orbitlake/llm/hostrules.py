@@ -13,9 +13,9 @@ from ._common import WORD, join_skewed, materialize, read, text_or_empty
 
 #: A document fails a rule of the method beyond these: symbols a word, share of repeated lines, mean word length.
 SYMBOLS_A_WORD, DUP_LINES, WORD_LENGTH = 0.1, 0.3, (2.0, 20.0)
-#: Limits of a host's shrunk failure rate, in standard deviations of the fitted prior above its mean. Beyond the first a host is suspect: its documents that fail any rule go.
-#: Beyond the second it is rejected with all its documents.
-SUSPECT, REJECTED = 0.25, 2.0
+#: Limits of a host's failure rate, in standard deviations of the fitted prior above its mean, and the standard deviations of its posterior by which the shrunk rate has to be above a limit (1.645: it is
+#: with a probability of 95 %). Beyond the first limit a host is suspect: its documents that fail any rule go. Beyond the second it is rejected with all its documents.
+SUSPECT, REJECTED, SURE = 0.25, 2.0, 1.645
 
 
 def _let(value: Column, body) -> Column:
@@ -64,17 +64,21 @@ def rule_failed() -> Column:
     return base_failed() | (F.col("n_symbols") > F.col("n_words") * SYMBOLS_A_WORD) | (F.col("n_dup_lines") > F.col("n_lines") * DUP_LINES) | ~F.coalesce(mean.between(*WORD_LENGTH), F.lit(False))
 
 
-def host_verdicts(measured: DataFrame, suspect: float = SUSPECT, rejected: float = REJECTED) -> DataFrame:
-    """One row a host: host, n, failed, rate (shrunk), suspect, rejected. The prior Beta(a, b) has the mean and the variance of the hosts' raw rates
-    (method of moments, a + b within 2 and 10,000; 2 where all rates agree or there is one host)."""
+def host_verdicts(measured: DataFrame, suspect: float = SUSPECT, rejected: float = REJECTED, sure: float = SURE) -> DataFrame:
+    """One row a host: host, n, failed, rate (shrunk), suspect, rejected. The prior Beta(a, b) has the mean of the hosts' raw rates, and of their variance what sampling does not explain: a binomial
+    rate of n rows has mean (1 - mean) / n of its own. Where nothing is left (and with one host) all hosts have the mean, and none is suspect; a + b is 2 at least."""
     hosts = measured.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(rule_failed().cast("long")).alias("failed"))
     hosts = materialize(hosts, "hosts")
-    mean, var = hosts.agg(F.avg(F.col("failed") / F.col("n")), F.var_pop(F.col("failed") / F.col("n"))).first()
-    mean, var = mean or 0.0, var or 0.0
-    size = min(10_000.0, max(2.0, mean * (1 - mean) / var - 1)) if var > 1e-12 else 2.0
+    raw = F.col("failed") / F.col("n")
+    mean, var, inverse = hosts.agg(F.avg(raw), F.var_samp(raw), F.avg(1 / F.col("n"))).first()
+    between = (var or 0.0) - (mean or 0.0) * (1 - (mean or 0.0)) * (inverse or 0.0)
+    if between <= 1e-12:
+        return hosts.withColumn("rate", F.lit(mean or 0.0)).withColumn("suspect", F.lit(False)).withColumn("rejected", F.lit(False))
+    size = max(2.0, mean * (1 - mean) / between - 1)
     deviation = (mean * (1 - mean) / (size + 1)) ** 0.5
-    rate = (F.col("failed") + F.lit(mean * size)) / (F.col("n") + F.lit(size))
-    return hosts.withColumn("rate", rate).withColumn("suspect", F.col("rate") > mean + suspect * deviation).withColumn("rejected", F.col("rate") > mean + rejected * deviation)
+    hosts = hosts.withColumn("rate", (F.col("failed") + F.lit(mean * size)) / (F.col("n") + F.lit(size)))
+    low = F.col("rate") - F.lit(sure) * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (F.col("n") + F.lit(size + 1)))
+    return hosts.withColumn("suspect", low > mean + suspect * deviation).withColumn("rejected", low > mean + rejected * deviation)
 
 
 def judge(docs: DataFrame, host: Column, text: str = "text", keep: tuple[str, ...] = (), suspect: float = SUSPECT, rejected: float = REJECTED) -> DataFrame:
@@ -108,10 +112,11 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 r AS (SELECT *, base_failed OR n_symbols > n_words * {SYMBOLS_A_WORD} OR n_dup_lines > n_lines * {DUP_LINES}
   OR NOT coalesce(word_chars::DOUBLE / nullif(n_words, 0) BETWEEN {WORD_LENGTH[0]} AND {WORD_LENGTH[1]}, false) AS failed FROM f),
 h AS (SELECT host, count(*) AS n, sum(failed::INT)::DOUBLE AS failed FROM r GROUP BY host),
-p AS (SELECT avg(failed / n) AS mean, var_pop(failed / n) AS var FROM h),
-s AS (SELECT mean, CASE WHEN var > 1e-12 THEN least(10000, greatest(2, mean * (1 - mean) / var - 1)) ELSE 2 END AS size FROM p),
-v AS (SELECT host, (h.failed + mean * size) / (h.n + size) AS rate, mean, sqrt(mean * (1 - mean) / (size + 1)) AS deviation FROM h, s)
+p AS (SELECT avg(failed / n) AS mean, var_samp(failed / n) - avg(failed / n) * (1 - avg(failed / n)) * avg(1 / n::DOUBLE) AS between_hosts FROM h),
+s AS (SELECT mean, CASE WHEN between_hosts > 1e-12 THEN greatest(2, mean * (1 - mean) / between_hosts - 1) END AS size FROM p),
+u AS (SELECT host, h.n, (h.failed + mean * size) / (h.n + size) AS rate, mean, size, sqrt(mean * (1 - mean) / (size + 1)) AS deviation FROM h, s),
+v AS (SELECT host, mean, deviation, rate - {SURE} * sqrt(rate * (1 - rate) / (n + size + 1)) AS low FROM u)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (rate > mean + {REJECTED} * deviation OR rate > mean + {SUSPECT} * deviation AND failed) AS kept
+  NOT base_failed AND NOT coalesce(low > mean + {REJECTED} * deviation OR low > mean + {SUSPECT} * deviation AND failed, false) AS kept
 FROM r JOIN v ON r.host IS NOT DISTINCT FROM v.host
 """
