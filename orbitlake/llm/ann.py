@@ -3,8 +3,9 @@
 Each hash is one projection; a block of vectors keeps the sorted values of each. A query opens a window centred on its
 own projection in every sorted array; a vector in the window collides. Windows grow or shrink by a constant ratio (virtual
 rehashing: no other index is needed for another radius), and only the rings between two radii are counted. The smallest
-radius at which CANDIDATES vectors reach the threshold of collisions decides: those of them with the most collisions are
-verified with the exact inner product. Inner products become distances by one more coordinate that gives all vectors the same norm.
+radius at which enough vectors reach the threshold of collisions decides: those of them with the most collisions are
+verified with the exact inner product. Inner products become distances by one more coordinate that gives all vectors the same norm; so that it stays small, a block
+is searched in parts of like norms, each lifted to its own largest one.
 
 Blocks are independent and of fixed size: any number of executors builds and searches them. Each block is moved to its
 task once; a stated query set comes to it in parts.
@@ -12,6 +13,7 @@ task once; a stated query set comes to it in parts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +26,10 @@ from ._common import materialize, read, small_batches
 
 #: Projections, collisions that make a candidate (share of them), first radius (in norms), growth of the radius.
 PROJECTIONS, THRESHOLD, RADIUS, RATIO = 160, 0.85, 1.5, 1.15
-#: Vectors that a query verifies in a block, whatever the block holds; more where the last ones have equally many collisions.
-CANDIDATES = 128
-#: Vectors of a block, queries of a part.
-BLOCK, QUERY_PART = 8192, 8192
+#: Vectors that a query verifies in a part of a block: so many for each of the k nearest that is to be expected there, and so many besides; more where the last ones have equally many collisions.
+PER_NEAREST, BESIDES = 7, 8
+#: Vectors of a block, which moves as one; of a part of it, which has vectors of like norms and is searched as one; queries of a part.
+BLOCK, PART, QUERY_PART = 8192, 2048, 8192
 
 
 def projections(dim: int, n: int, seed: int = 7) -> np.ndarray:
@@ -45,7 +47,7 @@ def _lift(x: np.ndarray, norm: float) -> np.ndarray:
 
 def build_block(ids: np.ndarray, x: np.ndarray, scale: float, norm: float, a: np.ndarray, k: int) -> tuple[bytes, ...]:
     """ids and vectors (float64) of a block, each pair once: distinct vectors (float32 where that loses nothing), the k + 1 smallest ids of each (no more can be among k
-    nearest), sorted projections. scale: the largest component of the table, norm: the largest norm in that scale."""
+    nearest), sorted projections. scale: the largest component of the table, norm: the largest norm of the vectors in that scale."""
     distinct, inverse = np.unique(x, axis=0, return_inverse=True)
     order = np.lexsort((ids, inverse.ravel()))
     group = inverse.ravel()[order]
@@ -118,6 +120,20 @@ def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndar
     return found
 
 
+def beyond(product: float, norm, dim: int):
+    """Share of vectors of that norm, in random directions, whose inner product with a vector of norm 1 is above product."""
+    return 0.5 * np.vectorize(math.erfc, otypes=[float])(product * math.sqrt(dim / 2) / np.maximum(norm, 1e-300))
+
+
+def expected_product(norms: np.ndarray, counts: np.ndarray, k: int, dim: int) -> float:
+    """The inner product above which k of the vectors are to be expected, in random directions: counts of vectors by norm."""
+    low, high = -float(norms.max(initial=0.0)) * 40, float(norms.max(initial=0.0)) * 40
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if (counts * beyond(middle, norms, dim)).sum() > k else (low, middle)
+    return high
+
+
 class Index:
     """Blocks of an index over all valid rows: those whose vector is not null, not zero, of the table's commonest length, and finite in each component."""
 
@@ -132,19 +148,25 @@ class Index:
         self.k = k
         self.dim, self.rows, self.scale = (sizes[0]["d"], sizes[0]["n"], sizes[0]["most"]) if sizes else (1, 0, 1.0)
         self.valid = rows.where(F.size("v") == self.dim).select("vec_id", "v")
-        self.norm = float(np.sqrt(self.valid.agg(F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / self.scale) * (x / self.scale)))).first()[0] or 1.0))
+        norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / self.scale) * (x / self.scale)))
+        steps = self.valid.groupBy(F.floor(F.log2(F.greatest(norm, F.lit(2.0**-500))) * 16).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()  # some thousand rows at most
+        self.product = expected_product(2.0 ** (np.array([r["step"] for r in steps]) / 16), np.array([r["n"] for r in steps], float), k, self.dim)
         self.n_blocks = max(1, -(-self.rows // BLOCK))
-        dim, scale, norm, a = self.dim, self.scale, self.norm, projections(self.dim + 1, n_projections)
+        dim, scale, a = self.dim, self.scale, projections(self.dim + 1, n_projections)
         self.a = a
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for block, ids, x in _gathered(batches, dim):
-                for part in range(0, len(ids), 1 << 15):  # places are uint16
-                    cols = build_block(ids[part : part + (1 << 15)], x[part : part + (1 << 15)], scale, norm, a, k)
-                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "distinct", "ids", "groups", "sorted", "places"])
+                norms = np.linalg.norm(x / scale, axis=1)
+                by_norm = np.argsort(norms, kind="stable")
+                for i in range(0, len(ids), PART):
+                    own = by_norm[i : i + PART]
+                    norm = float(norms[own].max())
+                    cols = build_block(ids[own], x[own], scale, norm, a, k)
+                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([norm]), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "norm", "distinct", "ids", "groups", "sorted", "places"])
 
         dealt = self.valid.distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(self.n_blocks)).cast("int")).repartition(self.n_blocks, "block").select("block", "vec_id", "v")
-        self.blocks = materialize(dealt.mapInArrow(build, "block int, distinct binary, ids binary, groups binary, sorted binary, places binary"), "ann-index")
+        self.blocks = materialize(dealt.mapInArrow(build, "block int, norm double, distinct binary, ids binary, groups binary, sorted binary, places binary"), "ann-index")
 
     def search(self, queries: DataFrame) -> DataFrame:
         """queries: rows of valid (vec_id, v). Each query's k nearest found: query_id, rank (from 1), vec_id, score; its own id is no candidate."""
@@ -153,8 +175,8 @@ class Index:
         return found.select("query_id", "rank", "vec_id", "score")
 
     def verified(self, queries: DataFrame) -> DataFrame:
-        """Per query and block: query_id, n_verified (distinct vectors whose product was taken), hits: the k best as structs of vec_id and score."""
-        dim, norm, a, k = self.dim, self.norm, self.a, self.k
+        """Per query and part of a block: query_id, n_verified (distinct vectors whose product was taken), hits: the k best as structs of vec_id and score."""
+        dim, a, k, product = self.dim, self.a, self.k, self.product
         n = max(1, -(-queries.count() // QUERY_PART))
 
         def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +193,7 @@ class Index:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
+                    norm = batch.column(batch.schema.get_field_index("norm"))[row].as_py()
                     get = lambda c, kind: np.frombuffer(batch.column(batch.schema.get_field_index(c))[row].as_buffer(), kind)
                     ids, groups = get("ids", np.int64), get("groups", np.int32)
                     values, places = get("sorted", np.float32).reshape(len(a), -1), get("places", np.uint16).reshape(len(a), -1)
@@ -178,9 +201,10 @@ class Index:
                     distinct = get("distinct", np.float32 if short else np.float64).reshape(-1, dim)
                     query_ids, x = get("query_ids", np.int64), get("query_vectors", np.float64).reshape(-1, dim)
                     begin = np.searchsorted(groups, np.arange(len(distinct) + 1))
+                    enough = int(np.ceil(PER_NEAREST * len(ids) * float(beyond(product, norm, dim)))) + BESIDES
                     looked, counts, out = [], [], [[], []]
                     for i in range(0, len(x), 256):
-                        for q, own, hits in zip(x[i:], query_ids[i:], search_block(x[i : i + 256], len(distinct), values, places, norm, a, CANDIDATES)):
+                        for q, own, hits in zip(x[i:], query_ids[i:], search_block(x[i : i + 256], len(distinct), values, places, norm, a, enough)):
                             with np.errstate(over="ignore", invalid="ignore"):
                                 score = (distinct[hits].astype(np.float64) * q).sum(1)
                             member, score = _best(own, hits, score, ids, begin, k)
