@@ -26,10 +26,14 @@ from ._common import materialize, read, small_batches
 
 #: Projections, collisions that make a candidate (share of them), first radius (in norms), growth of the radius.
 PROJECTIONS, THRESHOLD, RADIUS, RATIO = 160, 0.85, 1.5, 1.15
+#: Radii that are tried between two where far more vectors tie than are wanted.
+FINER = 5
 #: Vectors that a query verifies in a part of a block: so many for each of the k nearest that is to be expected there, and so many besides; more where the last ones have equally many collisions.
-PER_NEAREST, BESIDES = 7, 8
-#: Vectors of a block, which moves as one; of a part of it, which has vectors of like norms and is searched as one; queries of a part.
-BLOCK, PART, QUERY_PART = 8192, 2048, 8192
+PER_NEAREST, BESIDES = 6, 24
+#: Vectors of a block, which moves as one; queries that come to it together.
+BLOCK, QUERY_PART = 8192, 8192
+#: A part of a block is searched as one: its largest norm is so many times its smallest at most, but for parts of fewer than LEAST vectors.
+LIKE, LEAST = 1.5, 1024
 
 
 def projections(dim: int, n: int, seed: int = 7) -> np.ndarray:
@@ -81,11 +85,29 @@ def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndar
         parts = [p for i in range(m) for p in (order[i, lo[i, j] : low[i, j]], order[i, high[i, j] : hi[i, j]])]
         return np.bincount(np.concatenate(parts), minlength=n).astype(np.int16)
 
-    def most(q: int, hits: np.ndarray) -> np.ndarray:
+    def best(missed: np.ndarray, hits: np.ndarray) -> np.ndarray:
         """Those of the hits with the most collisions."""
-        c = outside[q, hits]
+        c = missed[hits]
         return hits[c <= np.partition(c, enough - 1)[enough - 1]] if len(hits) > enough else hits
 
+    def most(q: int, hits: np.ndarray) -> np.ndarray:
+        return best(outside[q], hits)
+
+    def refined(q: int, low: float, high: float) -> np.ndarray:
+        """Where many tie at a radius that has enough hits (high), and the one before (low) has not: radii between them."""
+        hits = found[q]
+        for _ in range(FINER):
+            if len(hits) <= 1.5 * enough:
+                break
+            middle = (low * high) ** 0.5
+            missed = ring(0, zero[:, :1], whole[:, :1], *edges(np.array([q]), middle))
+            some = np.flatnonzero(missed <= misses)
+            if len(some) >= enough:
+                hits, high = best(missed, some), middle
+            else:
+                low = middle
+        return hits
+
     found: list = [None] * len(queries)
     order = order.astype(np.intp)
     outside = np.empty((len(queries), n), np.int16)  # what is outside is counted, it is less
@@ -116,10 +138,25 @@ def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndar
                     done = done or bool((lo[:, j] >= hi[:, j]).all()) or radius < 1e-6 * norm
                 if not done:
                     rest.append(j)
+                elif len(found[q]) > 1.5 * enough:
+                    found[q] = refined(q, radius / ratio if ratio > 1 else radius, radius if ratio > 1 else radius / ratio)
             active, low, high = active[rest], lo[:, rest], hi[:, rest]
     return found
 
 
+def cuts(norms: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of parts of like norms; norms ascend."""
+    i = 0
+    while i < len(norms):
+        j = max(int(np.searchsorted(norms, norms[i] * LIKE, side="right")), i + LEAST)
+        j = len(norms) if len(norms) - j < LEAST else j
+        while j - i > 1 << 15:  # places are uint16
+            yield i, i + (1 << 15)
+            i += 1 << 15
+        yield i, j
+        i = j
+
+
 def beyond(product: float, norm, dim: int):
     """Share of vectors of that norm, in random directions, whose inner product with a vector of norm 1 is above product."""
     return 0.5 * np.vectorize(math.erfc, otypes=[float])(product * math.sqrt(dim / 2) / np.maximum(norm, 1e-300))
@@ -149,8 +186,8 @@ class Index:
         self.dim, self.rows, self.scale = (sizes[0]["d"], sizes[0]["n"], sizes[0]["most"]) if sizes else (1, 0, 1.0)
         self.valid = rows.where(F.size("v") == self.dim).select("vec_id", "v")
         norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / self.scale) * (x / self.scale)))
-        steps = self.valid.groupBy(F.floor(F.log2(F.greatest(norm, F.lit(2.0**-500))) * 16).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()  # some thousand rows at most
-        self.product = expected_product(2.0 ** (np.array([r["step"] for r in steps]) / 16), np.array([r["n"] for r in steps], float), k, self.dim)
+        steps = self.valid.groupBy(F.floor(F.log2(F.greatest(norm, F.lit(2.0**-500))) * 64).alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()  # norms within one per cent are one row
+        self.product = expected_product(2.0 ** (np.array([r["step"] for r in steps]) / 64), np.array([r["n"] for r in steps], float), k, self.dim)
         self.n_blocks = max(1, -(-self.rows // BLOCK))
         dim, scale, a = self.dim, self.scale, projections(self.dim + 1, n_projections)
         self.a = a
@@ -159,14 +196,12 @@ class Index:
             for block, ids, x in _gathered(batches, dim):
                 norms = np.linalg.norm(x / scale, axis=1)
                 by_norm = np.argsort(norms, kind="stable")
-                for i in range(0, len(ids), PART):
-                    own = by_norm[i : i + PART]
-                    norm = float(norms[own].max())
-                    cols = build_block(ids[own], x[own], scale, norm, a, k)
-                    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([norm]), *(pa.array([c], pa.binary()) for c in cols)], names=["block", "norm", "distinct", "ids", "groups", "sorted", "places"])
+                parts = [by_norm[i:j] for i, j in cuts(norms[by_norm])]
+                cols = zip(*[build_block(ids[own], x[own], scale, float(norms[own].max()), a, k) for own in parts])
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([[float(norms[own].max()) for own in parts]]), *(pa.array([list(c)], pa.list_(pa.binary())) for c in cols)], names=["block", "norm", "distinct", "ids", "groups", "sorted", "places"])
 
         dealt = self.valid.distinct().withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(self.n_blocks)).cast("int")).repartition(self.n_blocks, "block").select("block", "vec_id", "v")
-        self.blocks = materialize(dealt.mapInArrow(build, "block int, norm double, distinct binary, ids binary, groups binary, sorted binary, places binary"), "ann-index")
+        self.blocks = materialize(dealt.mapInArrow(build, "block int, norm array<double>, distinct array<binary>, ids array<binary>, groups array<binary>, sorted array<binary>, places array<binary>"), "ann-index")
 
     def search(self, queries: DataFrame) -> DataFrame:
         """queries: rows of valid (vec_id, v). Each query's k nearest found: query_id, rank (from 1), vec_id, score; its own id is no candidate."""
@@ -175,7 +210,7 @@ class Index:
         return found.select("query_id", "rank", "vec_id", "score")
 
     def verified(self, queries: DataFrame) -> DataFrame:
-        """Per query and part of a block: query_id, n_verified (distinct vectors whose product was taken), hits: the k best as structs of vec_id and score."""
+        """Per query and block: query_id, n_verified (distinct vectors whose product was taken), hits: the k best as structs of vec_id and score."""
         dim, a, k, product = self.dim, self.a, self.k, self.product
         n = max(1, -(-queries.count() // QUERY_PART))
 
@@ -193,27 +228,27 @@ class Index:
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
-                    norm = batch.column(batch.schema.get_field_index("norm"))[row].as_py()
-                    get = lambda c, kind: np.frombuffer(batch.column(batch.schema.get_field_index(c))[row].as_buffer(), kind)
-                    ids, groups = get("ids", np.int64), get("groups", np.int32)
-                    values, places = get("sorted", np.float32).reshape(len(a), -1), get("places", np.uint16).reshape(len(a), -1)
-                    short = len(batch.column(batch.schema.get_field_index("distinct"))[row].as_buffer()) == 4 * dim * values.shape[1]
-                    distinct = get("distinct", np.float32 if short else np.float64).reshape(-1, dim)
-                    query_ids, x = get("query_ids", np.int64), get("query_vectors", np.float64).reshape(-1, dim)
-                    begin = np.searchsorted(groups, np.arange(len(distinct) + 1))
-                    enough = int(np.ceil(PER_NEAREST * len(ids) * float(beyond(product, norm, dim)))) + BESIDES
-                    looked, counts, out = [], [], [[], []]
-                    for i in range(0, len(x), 256):
-                        for q, own, hits in zip(x[i:], query_ids[i:], search_block(x[i : i + 256], len(distinct), values, places, norm, a, enough)):
-                            with np.errstate(over="ignore", invalid="ignore"):
-                                score = (distinct[hits].astype(np.float64) * q).sum(1)
-                            member, score = _best(own, hits, score, ids, begin, k)
-                            looked.append(len(hits))
-                            counts.append(len(member))
-                            out[0].append(member)
-                            out[1].append(score)
-                    hits = pa.StructArray.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["vec_id", "score"])
-                    ends = pa.array(np.cumsum([0, *counts]).astype(np.int32))
+                    column = lambda c: batch.column(batch.schema.get_field_index(c))[row]
+                    query_ids = np.frombuffer(column("query_ids").as_buffer(), np.int64)
+                    x = np.frombuffer(column("query_vectors").as_buffer(), np.float64).reshape(-1, dim)
+                    looked, best = np.zeros(len(x), np.int64), [[] for _ in x]
+                    for part, norm in enumerate(column("norm").as_py()):
+                        get = lambda c, kind: np.frombuffer(column(c)[part].as_buffer(), kind)  # noqa: B023, E731
+                        ids, groups = get("ids", np.int64), get("groups", np.int32)
+                        values, places = get("sorted", np.float32).reshape(len(a), -1), get("places", np.uint16).reshape(len(a), -1)
+                        short = len(column("distinct")[part].as_buffer()) == 4 * dim * values.shape[1]
+                        distinct = get("distinct", np.float32 if short else np.float64).reshape(-1, dim)
+                        begin = np.searchsorted(groups, np.arange(len(distinct) + 1))
+                        enough = int(np.ceil(PER_NEAREST * len(ids) * float(beyond(product, norm, dim)))) + BESIDES
+                        for i in range(0, len(x), 256):
+                            for j, hits in enumerate(search_block(x[i : i + 256], len(distinct), values, places, norm, a, enough), i):
+                                with np.errstate(over="ignore", invalid="ignore"):
+                                    score = (distinct[hits].astype(np.float64) * x[j]).sum(1)
+                                best[j].append(_best(query_ids[j], hits, score, ids, begin, k))
+                                looked[j] += len(hits)
+                    merged = [_merged(b, k) for b in best]
+                    hits = pa.StructArray.from_arrays([pa.array(np.concatenate([m[i] for m in merged])) for i in (0, 1)], names=["vec_id", "score"])
+                    ends = pa.array(np.cumsum([0, *(len(m[0]) for m in merged)]).astype(np.int32))
                     yield pa.RecordBatch.from_arrays([pa.array(query_ids), pa.array(looked, pa.int32()), pa.ListArray.from_arrays(ends, hits)], names=["query_id", "n_verified", "hits"])
 
         return pairs.mapInArrow(search, "query_id bigint, n_verified int, hits array<struct<vec_id: bigint, score: double>>")
@@ -240,6 +275,18 @@ def _best(own: int, hits: np.ndarray, score: np.ndarray, ids: np.ndarray, begin:
         need *= 2
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of several lists of ids and scores; the same (id, score) counts once."""
+    if len(parts) == 1:
+        return parts[0]
+    member, score = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    top = np.lexsort((member, -score))
+    fresh = np.ones(len(top), bool)
+    fresh[1:] = (member[top][1:] != member[top][:-1]) | (score[top][1:] != score[top][:-1])
+    top = top[fresh][:k]
+    return member[top], score[top]
+
+
 def _gathered(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """block, ids and vectors of each block in a partition; columns: block, id, vector."""
     held: dict[int, list] = {}

@@ -27,8 +27,11 @@ def test_recall_of_a_single_block(spark, n, low, high):
     assert len(shares) >= 60 and np.mean(shares) >= 0.9 and np.quantile(shares, 0.1) >= 0.75
 
 
-def test_parts_of_a_block_have_like_norms(spark):
-    x = np.random.default_rng(1).standard_normal((5000, 8)) * np.linspace(1, 9, 5000)[:, None]
-    index = ann.Index(spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"))
-    parts = sorted((r["norm"], len(r["ids"]) // 8) for r in index.blocks.collect())
-    assert [n for _, n in parts] == [2048, 2048, 904] and parts[0][0] < 0.6 * parts[2][0]
+def test_parts_of_a_block_have_like_norms():
+    rng = np.random.default_rng(1)
+    for norms in (np.sort(rng.uniform(0.5, 1.5, 8000)), np.ones(9000), np.geomspace(1, 1e9, 3000), np.ones(3), np.array([1e-200, 1.0]), np.ones(70_000), np.empty(0)):
+        parts = list(ann.cuts(norms))
+        assert [i for i, _ in parts] == [0, *[j for _, j in parts]][: len(parts)] and (not len(norms) or parts[-1][1] == len(norms))
+        assert all(j - i <= 1 << 15 for i, j in parts)
+        assert all(j - i < 2 * ann.LEAST or norms[j - 1] <= norms[i] * ann.LIKE or norms[j - ann.LEAST - 1] <= norms[i] * ann.LIKE for i, j in parts)
+    assert len(list(ann.cuts(np.ones(9000)))) == 1
