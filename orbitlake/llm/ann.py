@@ -26,8 +26,8 @@ from ._common import materialize, read, small_batches
 
 #: Projections, collisions that make a candidate (share of them), first radius (in norms), growth of the radius.
 PROJECTIONS, THRESHOLD, RADIUS, RATIO = 160, 0.85, 1.5, 1.15
-#: Radii that are tried between two where far more vectors tie than are wanted.
-FINER = 5
+#: Where more than so many times the wanted vectors tie, so many radii between two are tried.
+MANY, FINER = 4, 5
 #: Vectors that a query verifies in a part of a block: so many for each of the k nearest that is to be expected there, and so many besides; more where the last ones have equally many collisions.
 PER_NEAREST, BESIDES = 6, 24
 #: Vectors of a block, which moves as one; queries that come to it together.
@@ -97,7 +97,7 @@ def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndar
         """Where many tie at a radius that has enough hits (high), and the one before (low) has not: radii between them."""
         hits = found[q]
         for _ in range(FINER):
-            if len(hits) <= 1.5 * enough:
+            if len(hits) <= MANY * enough:
                 break
             middle = (low * high) ** 0.5
             missed = ring(0, zero[:, :1], whole[:, :1], *edges(np.array([q]), middle))
@@ -138,7 +138,7 @@ def search_block(queries: np.ndarray, n: int, values: np.ndarray, order: np.ndar
                     done = done or bool((lo[:, j] >= hi[:, j]).all()) or radius < 1e-6 * norm
                 if not done:
                     rest.append(j)
-                elif len(found[q]) > 1.5 * enough:
+                elif len(found[q]) > MANY * enough:
                     found[q] = refined(q, radius / ratio if ratio > 1 else radius, radius if ratio > 1 else radius / ratio)
             active, low, high = active[rest], lo[:, rest], hi[:, rest]
     return found
