@@ -46,7 +46,7 @@ def windows(df: DataFrame, start: str, end: str, months: int, step: int | None =
 
 
 def starts(spark, start: str, end: str, months: int, length: int = 1) -> DataFrame:
-    """window_start of every window whose length periods of that many months end by end."""
+    """window_start of every window whose length periods of that many months end by end (length 0: that begins by end)."""
     n = F.floor(F.months_between(F.to_date(F.lit(end)), F.to_date(F.lit(start))) / months).cast("int") - length
     days = F.transform(F.sequence(F.lit(0), n), lambda k: F.add_months(F.to_date(F.lit(start)), k * months))
     return spark.range(1).select(F.explode(F.when(n >= 0, days)).alias("window_start"))

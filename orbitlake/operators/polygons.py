@@ -343,6 +343,14 @@ def bounds(ring: Column) -> Column:
     return geo.rect(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
 
 
+def tile_cover(regions: DataFrame, tilesize: int, pad: int, resolution: float, rings: str = "rings") -> DataFrame:
+    """regions: rings of a region in degrees (one polygon with its holes). A row for each grid tile that shares some area with the region: the region's columns and key. The tiles of
+    its bounding box are keys in an array (so cut very large regions first); each is held against the region by itself."""
+    box = regions.where(F.size(rings) > 0).withColumn("key", F.explode(geo.tile_cover(bounds(F.get(rings, 0)), tilesize, pad, resolution)))
+    common = area(intersection(F.col(rings), F.array(geo.tile_corners(F.col("key")))))
+    return box.withColumn("_common", common).where("_common > 0").drop("_common")
+
+
 # --- overlap resolution ----------------------------------------------------------------------------------------------------
 
 

@@ -139,6 +139,6 @@ def best_match(df: DataFrame, key: str, vector: str, group: str) -> DataFrame:
         return pd.Series(out)
 
     run.__annotations__ = {k: pd.Series for k in ("keys", "x", "keys2", "x2", "return")}
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # a row holds two blocks
+    # a row holds two blocks; Spark ends an Arrow batch at spark.sql.execution.arrow.maxBytesPerBatch (64 MB)
     found = pairs.select(F.explode(F.pandas_udf(run, f"array<struct<key:{kind},best:double>>")("_keys", "_x", "_keys2", "_x2")).alias("m"))
     return found.groupBy(F.col("m.key").alias(key)).agg(F.max("m.best").alias("best"))

@@ -30,8 +30,8 @@ query("s11_collection_scan", "SELECT o_orderkey AS scene_key FROM orders WHERE C
 query("s13_catalog_lookup", "SELECT n_name AS id FROM nation WHERE contains(n_name, 'N') ORDER BY n_name LIMIT 1")(lambda s, d: catalog.first_containing(table(s, d, "nation").select(F.col("n_name").alias("id")), "N"))
 query("s20_sample_raster", f"SELECT p.c_custkey, coalesce(r.v, -1) AS v FROM customer p LEFT JOIN {RASTERS} r ON r.id = p.c_custkey AND r.row = p.c_nationkey % 8 AND r.col = 3")(
     lambda s, d: catalog.sample_raster(table(s, d, "customer").select("c_custkey", F.col("c_custkey").alias("id"), (F.col("c_nationkey") % 8).alias("row"), F.lit(3).alias("col")), rasters(s, d)).select("c_custkey", F.coalesce("v", F.lit(-1.0)).alias("v")))
-query("s22_lookup_cache", "SELECT l_orderkey, l_linenumber, l_shipdate, p_name AS place FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity < 3")(
-    lambda s, d: catalog.cached_lookup(LI(s, d).where("l_quantity < 3").select("l_orderkey", "l_linenumber", "l_shipdate", F.col("l_partkey").alias("key")), ["key"], lambda k: k.join(table(s, d, "part"), F.col("key") == F.col("p_partkey")).select("key", F.col("p_name").alias("place"))).drop("key"))
+query("s22_lookup_cache", "SELECT l_orderkey, l_linenumber, l_shipdate, p_name AS place FROM lineitem JOIN part ON p_partkey = l_partkey")(
+    lambda s, d: catalog.cached_lookup(LI(s, d).select("l_orderkey", "l_linenumber", "l_shipdate", F.col("l_partkey").alias("key")), ["key"], lambda k: k.join(table(s, d, "part"), F.col("key") == F.col("p_partkey")).select("key", F.col("p_name").alias("place"))).drop("key"))
 query("s23_sweep", "SELECT * FROM (VALUES (1.0::DOUBLE, 10.0::DOUBLE), (2.0, 20.0), (3.0, 30.0)) t(lat, lon)")(lambda s, d: s.createDataFrame(list(zip([1.0, 2.0, 3.0], [10.0, 20.0, 30.0])), "lat double, lon double"))
 
 # --- filters ---------------------------------------------------------------------------------------------------------------

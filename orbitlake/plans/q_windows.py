@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from ..functions import values
 from ..operators import composite as C
-from ..operators import merge
-from .analogues import PIXELS, pixels, table
-from .q_aggregates import KEYS, SEEN, seen
+from ..operators import merge, position
+from . import q_history
+from .analogues import PIXELS, VECTORS, pixels, table, vectors
 from .registry import query
 
 R = lambda c, n=4: F.round(c, n)
@@ -71,11 +71,13 @@ def w11(spark, sf):
     return every.join(m, ["tile_id", "month"], "left").withColumn("v", R("v"))
 
 
-@query("w12_missing_starts", f"""WITH c AS (SELECT tile_id, band, window_start, min(CASE WHEN valid THEN v END) AS v FROM {SEEN} GROUP BY ALL), k AS (SELECT DISTINCT tile_id, band FROM c),
-s AS (SELECT CAST(DATE '1995-01-01' + to_months(CAST(3 * i AS INT)) AS DATE) AS window_start FROM range(0, 8) r(i)) SELECT tile_id, band, window_start, v FROM k CROSS JOIN s LEFT JOIN c USING (tile_id, band, window_start)""")
+@query("w12_missing_starts", f"""WITH c AS (SELECT tile_id, band, window_start, min(CASE WHEN valid THEN v END) AS v FROM {q_history.SEEN} GROUP BY ALL), k AS (SELECT DISTINCT tile_id, band FROM c),
+b AS (SELECT date_trunc('month', min(date))::DATE AS first, max(date) AS last FROM {PIXELS}),
+s AS (SELECT CAST(first + to_months(CAST(3 * i AS INT)) AS DATE) AS window_start FROM (SELECT first, unnest(range(0, datediff('month', first, last) // 3 + 1)) AS i FROM b)) SELECT tile_id, band, window_start, v FROM k CROSS JOIN s LEFT JOIN c USING (tile_id, band, window_start)""")
 def w12(spark, sf):
-    comp = C.composite(seen(spark, sf), KEYS, "min")
-    return C.complete_starts(comp, C.starts(spark, "1995-01-01", "1997-01-01", 3), ["tile_id", "band"])
+    """Every window from the least date's month to the greatest date."""
+    first, last = q_history.span(pixels(spark, sf))
+    return C.complete_starts(q_history.minima(spark, sf), C.starts(spark, first, last, 3, 0), ["tile_id", "band"])
 
 
 def windowed(months: int, step: int, mode: str, start: str = "1995-01-01", end: str = "1997-01-01"):
@@ -102,3 +104,10 @@ query("t10_holdout_months", f"SELECT tile_id, date, v FROM (SELECT *, dense_rank
     lambda s, d: pixels(s, d).withColumn("r", F.dense_rank().over(W.partitionBy("tile_id").orderBy(F.desc(F.trunc("date", "month"))))).where("r <= 3").select("tile_id", "date", "v"))
 query("t11_year_slices", f"SELECT tile_id, CAST(floor((datediff('month', DATE '1995-01-01', date_trunc('month', date)::DATE) - 4) / 12) AS BIGINT) AS slice, count(*) AS n FROM {PIXELS} WHERE datediff('month', DATE '1995-01-01', date_trunc('month', date)::DATE) >= 4 GROUP BY 1, 2")(
     lambda s, d: pixels(s, d).withColumn("m", F.floor(F.months_between(F.trunc("date", "month"), F.lit("1995-01-01").cast("date")))).where("m >= 4").groupBy("tile_id", F.floor((F.col("m") - 4) / 12).alias("slice")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("w10_brightness_order", f"SELECT id, row_number() OVER (ORDER BY norm DESC, id) - 1 AS position FROM (SELECT id, round(sqrt(list_sum(list_transform(bands, lambda x: x * x))), 3) AS norm FROM {VECTORS})")
+def w10(spark, sf):
+    """All vectors in order of brightness, numbered over the whole table without one task that sorts it."""
+    norm = F.round(F.sqrt(F.aggregate("bands", F.lit(0.0), lambda s, x: s + x * x)), 3)
+    return position.numbered(vectors(spark, sf).select("id", norm.alias("norm")), [F.desc("norm"), F.asc("id")]).select("id", "position")

@@ -32,6 +32,19 @@ def cached_lookup(df: DataFrame, keys: Sequence[str], lookup: Callable[[DataFram
     return df.join(lookup(df.select(*keys).distinct()), list(keys))
 
 
+def kept_lookup(df: DataFrame, keys: Sequence[str], lookup: Callable[[DataFrame], DataFrame], path: str) -> DataFrame:
+    """As cached_lookup, with answers kept as Parquet at path from one run to the next: only keys without an answer there are looked up. lookup gives one row for each key that it knows; one
+    that it does not know is asked for again. One run at a time may write."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    wanted = df.select(*keys).distinct()
+    if there:
+        wanted = wanted.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
+    lookup(wanted).write.mode("append").parquet(path)
+    return df.join(spark.read.parquet(path), list(keys))
+
+
 def create_missing(existing: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     """Catalogue entries to add: those wanted whose key is not there, numbered on from the largest index."""
     from pyspark.sql import Window as W

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -168,3 +169,38 @@ def write_document(df: DataFrame, path: str, key: str, fields: list[str]) -> Non
 def missing_keys(wanted: DataFrame, done: DataFrame) -> DataFrame:
     """Keys that were asked for and are not among the outputs, whose names have _ for : in them."""
     return wanted.join(done.select(F.replace("key", F.lit("_"), F.lit(":")).alias("key")), "key", "left_anti")
+
+
+def write_labelled(df: DataFrame, path: str, label: int, mode: str = "append") -> None:
+    """Arrays with one label for all rows, as Parquet."""
+    df.withColumn("label", F.lit(label)).write.mode(mode).parquet(path)
+
+
+def create_or_get(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The product at path; an empty one of that schema is created where there is none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        reset(spark, path, schema)
+    return spark.read.schema(schema).parquet(path)
+
+
+#: Columns of a report's lines.
+METRICS = ("precision", "recall", "f1", "support")
+
+
+def write_report(report: DataFrame, path: str, config: dict[str, object]) -> None:
+    """A model's settings, `name: value` a line, then its report: class and METRICS, a line a class. Reports have a few rows."""
+    lines = [f"{k}: {v}" for k, v in config.items()] + ["", "class " + " ".join(METRICS)]
+    head = report.sparkSession.createDataFrame([(i, v) for i, v in enumerate(lines)], "_n int, value string")
+    shown = F.concat_ws(" ", F.regexp_replace(F.col("class").cast("string"), r"\s+", "_"), *[F.format_string("%.4f", F.col(m).cast("double")) for m in METRICS[:3]], F.col("support").cast("long").cast("string"))
+    body = report.select((F.row_number().over(W.orderBy("class")) + len(lines)).alias("_n"), shown.alias("value"))
+    head.unionByName(body).coalesce(1).sortWithinPartitions("_n").select("value").write.mode("overwrite").text(path)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """The report lines of all text files at path: file, class, and METRICS as numbers. Lines of another form are left out; names of several words keep their blanks."""
+    number = r"(\d+(?:\.\d+)?)"
+    pattern = rf"^\s*(\S.*?)\s+{number}\s+{number}\s+{number}\s+(\d+)\s*$"
+    part = lambda i: F.regexp_extract("value", pattern, i)
+    lines = spark.read.text(path).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("file"), "value").where(F.col("value").rlike(pattern))
+    return lines.select("file", part(1).alias("class"), *[part(i + 2).cast("double").alias(m) for i, m in enumerate(METRICS[:3])], part(5).cast("long").alias("support"))

@@ -142,3 +142,23 @@ def test_dissolve_of_tiles(spark):
     comb = [("z", [square(x, 0, 1, 1 + x % 2)]) for x in range(150)]
     assert [(k, a) for k, n, a in rings(P.dissolve(make(comb), ["k"])) if n > 300] == [("z", 225.0)]
     assert P.dissolve(make([("a", [])]), ["k"]).count() == 0
+
+
+def test_tiles_of_a_region(spark):
+    from orbitlake.functions import geo
+
+    # a triangle with a hole, across two zones
+    outer = [{"x": 5.9, "y": 0.1}, {"x": 6.2, "y": 0.1}, {"x": 6.0, "y": 0.5}]
+    hole = [{"x": 5.98, "y": 0.15}, {"x": 6.06, "y": 0.15}, {"x": 6.02, "y": 0.3}]
+    regions = spark.createDataFrame([("r", [outer, hole]), ("none", []), ("null", None)], f"name string, rings {P.RINGS}")
+    got = P.tile_cover(regions, 64, 0, 20.0).select("name", "key", geo.tile_corners(F.col("key")).alias("c")).collect()
+    boxes = len(regions.where("name = 'r'").select(geo.tile_cover(P.bounds(F.get("rings", 0)), 64, 0, 20.0).alias("k")).first()["k"])
+    assert {r["name"] for r in got} == {"r"} and len(got) == len({r["key"] for r in got}) < 0.75 * boxes
+    # every place of the region lies in a tile that was kept
+    rng = np.random.default_rng(5)
+    x, y = 5.9 + 0.3 * rng.random(3000), 0.1 + 0.4 * rng.random(3000)
+    inside = holds([outer, hole], x, y)
+    covered = np.zeros(3000, bool)
+    for r in got:
+        covered |= holds([[{"x": p["x"], "y": p["y"]} for p in r["c"]]], x, y)
+    assert inside.sum() > 500 and covered[inside].mean() > 0.999
