@@ -67,9 +67,14 @@ class Layout:
         if kind not in (42, 43) or kind == 43 and len(head) < 16:
             raise ValueError("not a TIFF file")
         big = kind == 43
+        if big and int(np.frombuffer(head, order + "u2", 1, 4)[0]) != 8:
+            raise ValueError("not a BigTIFF file of 64-bit offsets")
         number, width = (order + "u8", 8) if big else (order + "u4", 4)
         at = int(np.frombuffer(head, number, 1, 8 if big else 4)[0])
-        n = int(np.frombuffer(read(at, width if big else 2), order + ("u8" if big else "u2"))[0])
+        count = read(at, width if big else 2)
+        if len(count) < (width if big else 2):
+            raise ValueError("TIFF: the file ends before its directory")
+        n = int(np.frombuffer(count, order + ("u8" if big else "u2"))[0])
         first, size = at + (8 if big else 2), 4 + 2 * width
         entries, tags = read(first, n * size), {}
         for i in range(n):

@@ -137,7 +137,7 @@ def test_bytes_read_follow_the_window():
 
 def test_files_that_are_none():
     image = np.zeros((4, 4, 1), "<u2")
-    for bad in (b"", b"GIF89a..", make(image)[:2] + b"+" + make(image)[3:]):
+    for bad in (b"", b"GIF89a..", make(image)[:2] + b"+" + make(image)[3:], make(image)[:40], make(image, big=True)[:40]):
         with pytest.raises(ValueError):
             tiff.Layout(Counting(bad))
     with pytest.raises(ValueError):
