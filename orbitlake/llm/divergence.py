@@ -5,7 +5,7 @@ vocabulary of their language. Every (language, source) group meets the whole voc
 that it lacks counts zero; smoothed shares follow. Two sources of a language are compared by a self-join on language and
 term, whose sums are ranked by window; the terms that set a source apart from its language are ranked likewise.
 
-Matches are found and added up in Arrow batches, before they become rows: exploding each match natively takes some six times
+Matches are found and added up in Arrow batches, before they become rows: exploding each match natively took two to three times
 the CPU time. What a batch counts is added up by Spark, so frequent terms and a hot source cost no task more than others.
 Groups and vocabulary meet by language and one of SALTS slices of the vocabulary: a language with most of the terms is spread
 over that many keys. All arithmetic is exact: integers, and decimals of 38 digits where counts are scaled.
