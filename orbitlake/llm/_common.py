@@ -31,11 +31,20 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: With it, Spark drops the shuffle files of an execution at its end, not when the driver happens to collect its garbage.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: cuts lineage so that a lost executor costs no more than its tasks."""
+    """Writes df as Parquet to the shared folder and reads it back: cuts lineage so that a lost executor costs no more than its tasks. The write's shuffle files go at its end."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -184,5 +193,6 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         small = least(down)
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        now = materialize(small.where("a <> b").distinct(), tag)
+        last, now = now, materialize(small.where("a <> b").distinct(), tag)
+        forget(last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import chunks, components, join_skewed, materialize, mix64, read, runs_hash, small_batches, texts_words
+from ._common import chunks, components, forget, join_skewed, materialize, mix64, read, runs_hash, small_batches, texts_words
 
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
@@ -210,6 +210,14 @@ def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np
     return out
 
 
+def _shared(posts: DataFrame, rows: int) -> DataFrame:
+    """Those posts whose token has more than one: most tokens have one, and to tell them by a count alone moves a token and its count, not what tells groups apart."""
+    counts = materialize(posts.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "jaccard-tokens")
+    out = materialize(join_skewed(posts, counts, "token", "_token", "size", rows).select("token", "node"), "jaccard-posts")
+    forget(counts)
+    return out
+
+
 def _groups(posts: DataFrame) -> DataFrame:
     """posts: token, node, each pair once. The tokens of two nodes or more: token, low and high (nodes), size, and m1, m2 that tell groups of other members apart."""
     mark = lambda seed: F.sum(F.shiftright(F.xxhash64("node", F.lit(seed)), 34))
@@ -297,9 +305,13 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
 
     base = materialize(docs.select("doc_id", text).mapInArrow(sets, f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>, bits binary"), "jaccard-sets")
 
+    # each large table goes as soon as nothing reads it any more, and each large shuffle is a job of its own: the disk holds one of them at a time
+    slim = materialize(base.select("doc_id", F.col("n").alias("n_shingles"), "node"), "jaccard-rows")
     some = base.where("n > 0")
-    classes = materialize(some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("weight")), "jaccard-classes")
-    n_tokens = classes.agg(F.sum(F.size("prefix"))).first()[0] or 0
+    signed = materialize(some.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"), F.count(F.lit(1)).alias("weight")), "jaccard-signed")
+    forget(base)
+    classes = materialize(signed.select("node", "doc_id", "n", "weight"), "jaccard-classes")
+    n_tokens = signed.agg(F.sum(F.size("prefix"))).first()[0] or 0
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (token, _, _), rows in _by_cell(batches):
@@ -308,10 +320,14 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array([token] * len(keep), pa.int64()), pa.array(keep, pa.int64())], names=["token", "node"])
 
     # groups: a token and the classes that have it in their prefix
-    posts = classes.select("node", F.explode("prefix").alias("token"))
+    posts = _shared(signed.select("node", F.explode("prefix").alias("token")), n_tokens)
     groups = join_skewed(posts, _first_of_equal(_groups(posts)), "token", "_token", "size", n_tokens)
-    near = _cells(groups.select("token", "node", F.ceil(F.col("size") / GROUP).cast("int").alias("parts")), classes.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
+    groups = materialize(groups.select("token", "node", F.ceil(F.col("size") / GROUP).cast("int").alias("parts")), "jaccard-groups")
+    forget(posts)
+    near = _cells(groups, signed.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
     near = materialize(near, "jaccard-near")
+    forget(groups)
+    forget(signed)
     # what is left hangs together in families
     edges = join_skewed(near, _first_of_equal(_groups(near)), "token", "_token", "size", n_tokens).select(F.col("node").alias("a"), F.col("low").alias("b"))
     family = components(edges, "jaccard-families").withColumnRenamed("root", "token")
@@ -342,12 +358,12 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
 
     links = materialize(cells.mapInArrow(trees, "a bigint, b bigint, linked bigint"), "jaccard-links")
+    forget(full)
     roots = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy(F.col("root").alias("_root")).agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n"))
     named = materialize(named.select("node", "doc_id", "weight", "root").join(smallest, F.col("root") == F.col("_root")).join(degree, "node", "left").select(F.col("node").alias("_node"), "component_id", (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "weight"), "jaccard-named")
-    slim = base.select("doc_id", F.col("n").alias("n_shingles"), "node")
     out = join_skewed(slim.where("n_shingles > 0"), named, "node", "_node", "weight", n_tokens).select("doc_id", "n_shingles", "component_id", "n_links")
     out = out.unionByName(slim.where("n_shingles = 0").select("doc_id", "n_shingles", F.lit(None).cast(kind).alias("component_id"), F.lit(0).cast("long").alias("n_links")))
     alone = F.col("n_shingles") == 0
