@@ -10,15 +10,15 @@ from .registry import query
 R = lambda c, n=4: F.round(c, n)
 
 
-def span(px):
-    """First of the month of the least date, and the greatest date."""
-    b = px.agg(F.trunc(F.min("date"), "month").cast("string").alias("first"), F.max("date").cast("string").alias("last")).first()
+def span(px, after: int = 0):
+    """First of the month of the least date, and the greatest date, so many months later."""
+    b = px.agg(F.trunc(F.min("date"), "month").cast("string").alias("first"), F.add_months(F.max("date"), after).cast("string").alias("last")).first()
     return b["first"], b["last"]
 
 
 def history(px, months: int = 3, step: int | None = None, mode: str = "inclusive"):
-    """Pixels in all windows that hold their date, from the month of the least date on; the greatest date is the end."""
-    first, last = span(px)
+    """Pixels in all windows that hold their date, from the month of the least date on; the greatest date is the end. Whole batches are asked for up to the end of the one that begins last, so each date lies in one."""
+    first, last = span(px, months if mode == "whole" else 0)
     return C.windows(px, first, last, months, step, mode)
 
 
@@ -89,6 +89,6 @@ def windowed_sql(months: int, step: int, low: str, limit: str = "true") -> str:
 
 
 query("t1_tumbling_inclusive_all", windowed_sql(3, 3, "<="))(windowed(3, 3, "inclusive"))
-query("t2_whole_batches_all", windowed_sql(6, 6, "<=", "e <= last"))(windowed(6, 6, "whole"))
+query("t2_whole_batches_all", windowed_sql(6, 6, "<="))(windowed(6, 6, "whole"))
 query("t4_sliding_all", windowed_sql(4, 2, "<=", "(k = 0 OR before < last)"))(windowed(4, 2, "until"))
 query("t5_monthly_history_all", windowed_sql(1, 1, "<"))(windowed(1, 1, "half_open"))

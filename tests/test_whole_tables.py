@@ -47,3 +47,11 @@ def test_entry_and_composites_reach_the_last_date(spark, sf, tmp_path):
         assert QUERIES[name](spark, sf).agg({"window_start": "max"}).first()[0].year == 2001
     pd.DataFrame({"l_suppkey": [1, 1], "l_orderkey": [1, 2], "l_shipdate": pd.to_datetime(["1980-05-17", "2031-02-03"]), "l_returnflag": "N", "l_linestatus": "O", "l_extendedprice": [5.0, 7.0], "l_discount": 0.0}).to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
     assert [str(r.window_start) for r in QUERIES["a2_min_composite_all"](spark, str(tmp_path)).orderBy("window_start").collect()] == ["1980-05-01", "2031-02-01"]
+
+
+def test_every_row_lies_in_a_batch(spark, tmp_path):
+    """Also those after the last batch that ends by the greatest date; a boundary date lies in two."""
+    days = ["1995-01-02", "1995-07-01", "1995-12-31", "1996-01-01", "1996-03-31"]
+    pd.DataFrame({"l_suppkey": 1, "l_orderkey": range(5), "l_shipdate": pd.to_datetime(days), "l_returnflag": "N", "l_linestatus": "O", "l_extendedprice": 5.0, "l_discount": 0.0}).to_parquet(tmp_path / "lineitem.parquet", coerce_timestamps="us")
+    rows = QUERIES["t2_whole_batches"](spark, str(tmp_path)).collect()
+    assert {str(r.window_start): r.n for r in rows} == {"1995-01-01": 2, "1995-07-01": 3, "1996-01-01": 2}
