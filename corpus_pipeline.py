@@ -1,7 +1,7 @@
 """A training-data pipeline over documents: toxicity, near duplicates, secrets, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Between
-stages the rows are written as Parquet and read again.
+stages the rows are written as Parquet and read again; a stage's tables, and the rows it was given, go once its rows are written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbitlake.llm import jaccard, mixing, packing, secrets, toxicity
-from orbitlake.llm._common import materialize, read
+from orbitlake.llm._common import forget, materialize, read, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -24,8 +24,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id stays, once if its row repeats. Rows of one id with different texts stay together; a component of
     null ids alone keeps one row of each text. Texts are compared among rows of one id only."""
-    first = jaccard.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    kept = docs.select(*COLUMNS).join(materialize(first, "pipeline-first"), F.col("doc_id").eqNullSafe(F.col("_id")))
+    with scratch(spark) as outside:
+        first = jaccard.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+        first = materialize(first, "pipeline-first", outside)
+    kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("_id")))
     once = kept.where("_n = 1").select(*COLUMNS)
     return once.unionByName(kept.where("_n > 1").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
@@ -62,7 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, last = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark) as outside:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}", outside)
+        if last is not None:
+            forget(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,6 +4,7 @@ import collections
 import os
 import time
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,3 +56,20 @@ def test_only_shared_tokens_have_posts(spark, shared):
     rows = [(t, n) for t, nodes in {1: [5], 2: [5, 6], 3: [7], -4: [5, 6, 7]}.items() for n in nodes]
     out = jaccard._shared(spark.createDataFrame(rows, "token long, node long"), len(rows))
     assert sorted(map(tuple, out.collect())) == [(-4, 5), (-4, 6), (-4, 7), (2, 5), (2, 6)] and set(tables(shared)) == {"jaccard-posts"}
+
+
+def test_pipeline_keeps_one_stage_at_a_time(spark, sf, shared, monkeypatch):
+    """A stage's tables and the rows that it was given go once its own are written."""
+    seen = []
+
+    def told(stage):
+        return lambda spark, docs, sf_dir: seen.append(set(tables(shared))) or stage(spark, docs, sf_dir)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(name, told(stage)) for name, stage in corpus_pipeline.STAGES])
+    assert corpus_pipeline.run(spark, sf).count() > 0
+    assert seen == [set(), *({f"pipeline-{name}"} for name, _ in corpus_pipeline.STAGES[:-1])]
+
+
+def test_near_duplicates_keep_only_what_their_result_reads(spark, corpus, shared):
+    out = corpus_pipeline.near_duplicate_stage(spark, corpus.select(*corpus_pipeline.COLUMNS), "")
+    assert set(tables(shared)) == {"pipeline-first"} and 0 < out.count() < corpus.count()
