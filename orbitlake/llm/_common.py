@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,6 +180,16 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def releasing(run):
+    """run, for mapInArrow, with what Arrow holds on to given back at the task's end: workers live on, and later steps run in them."""
+
+    def inner(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return inner
+
+
 #: A key of more rows than this, and than 1 / MANY_KEYS of all rows, is hot: there are MANY_KEYS of them at most.
 HOT_ROWS, MANY_KEYS = 10_000, 100_000
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import chunks, components, forget, join_skewed, materialize, mix64, read, runs_hash, small_batches, texts_words
+from ._common import chunks, components, forget, join_skewed, materialize, mix64, read, releasing, runs_hash, small_batches, texts_words
 
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
@@ -279,7 +279,7 @@ def frequent_order(docs: DataFrame, text: str) -> Order:
         if held:
             yield flush()
 
-    seen = docs.select(text).mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    seen = docs.select(text).mapInArrow(releasing(run), "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     top = seen.where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas()  # FREQUENT rows at most
     return Order(top["token"].to_numpy(np.int64).view(np.uint64)[::-1].copy())
 
@@ -303,7 +303,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
             cols = [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(nodes), _lists([s[: prefix_length(len(s), percent)] for s in found]), pa.array([bit_set(s) for s in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n", "node", "prefix", "bits"])
 
-    base = materialize(docs.select("doc_id", text).mapInArrow(sets, f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>, bits binary"), "jaccard-sets")
+    base = materialize(docs.select("doc_id", text).mapInArrow(releasing(sets), f"doc_id {kind}, n bigint, node bigint, prefix array<bigint>, bits binary"), "jaccard-sets")
 
     # each large table goes as soon as nothing reads it any more, and each large shuffle is a job of its own: the disk holds one of them at a time
     slim = materialize(base.select("doc_id", F.col("n").alias("n_shingles"), "node"), "jaccard-rows")
@@ -324,7 +324,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     groups = join_skewed(posts, _first_of_equal(_groups(posts)), "token", "_token", "size", n_tokens)
     groups = materialize(groups.select("token", "node", F.ceil(F.col("size") / GROUP).cast("int").alias("parts")), "jaccard-groups")
     forget(posts)
-    near = _cells(groups, signed.select("node", "n", "bits")).mapInArrow(filtered, "token bigint, node bigint").distinct()
+    near = _cells(groups, signed.select("node", "n", "bits")).mapInArrow(releasing(filtered), "token bigint, node bigint").distinct()
     near = materialize(near, "jaccard-near")
     forget(groups)
     forget(signed)
@@ -346,7 +346,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "keys"])
 
     texts = docs.select("doc_id", text).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(text)
-    full = materialize(texts.mapInArrow(whole, "node bigint, keys binary").dropDuplicates(["node"]), "jaccard-full")
+    full = materialize(texts.mapInArrow(releasing(whole), "node bigint, keys binary").dropDuplicates(["node"]), "jaccard-full")
     cells = _cells(posts, full.join(classes.select("node", "weight"), "node"))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +357,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
             keep = (label != np.arange(len(rows))) | (linked > 0)
             yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep]), pa.array(linked[keep])], names=["a", "b", "linked"])
 
-    links = materialize(cells.mapInArrow(trees, "a bigint, b bigint, linked bigint"), "jaccard-links")
+    links = materialize(cells.mapInArrow(releasing(trees), "a bigint, b bigint, linked bigint"), "jaccard-links")
     forget(full)
     roots = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("linked").alias("linked"))
