@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbitlake.llm import jaccard, mixing, packing, secrets, toxicity
-from orbitlake.llm._common import forget, materialize, read, scratch
+from orbitlake.llm._common import bit_map, forget, mapped, materialize, read, scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -25,11 +25,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each component the document with the smallest id stays, once if its row repeats. Rows of one id with different texts stay together; a component of
     null ids alone keeps one row of each text. Texts are compared among rows of one id only."""
     with scratch(spark) as outside:
-        first = jaccard.similar(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-        first = materialize(first, "pipeline-first", outside)
-    kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = kept.where("_n = 1").select(*COLUMNS)
-    return once.unionByName(kept.where("_n > 1").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
+        ids = jaccard.similar(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.count_if(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("_n"))
+        some = materialize(ids.where("_n <> 1"), "pipeline-first", outside)
+    # most ids stay, with all their rows: a bit map tells nearly all of them, so that their texts are not moved
+    told = mapped(docs.select(*COLUMNS), "doc_id", bit_map(some, "_id"))
+    met = told.where("_mapped").join(some, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    once = told.where("NOT _mapped").select(*COLUMNS).unionByName(met.where("_n IS NULL").select(*COLUMNS))
+    return once.unionByName(met.where("_n > 1").select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -204,6 +204,27 @@ def join_skewed(left: DataFrame, right: DataFrame, key: str, right_key: str, n:
     return left.join(hot, same).unionByName(rest)
 
 
+#: Bits of a bit map, as a power of two. A row has 64 of them, so that a map of any number of keys has 262,144 rows at most.
+MAP_BITS = 24
+
+
+def _bit(key: str) -> Column:
+    return F.xxhash64(key).bitwiseAND((1 << MAP_BITS) - 1)
+
+
+def bit_map(keys: DataFrame, key: str) -> DataFrame:
+    """A bit for each key, a null one too, by its hash: _word, _bits."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _bit(key).bitwiseAND(63).cast("int"))
+    return keys.groupBy(F.shiftright(_bit(key), 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def mapped(df: DataFrame, key: str, bits: DataFrame) -> DataFrame:
+    """df with _mapped: false only for keys that are not in the bit map, which is broadcast; the more keys that has, the more others get true. Rows stay where they are."""
+    out = df.join(F.broadcast(bits), F.shiftright(_bit(key), 6) == F.col("_word"), "left")
+    got = F.call_function("shiftright", F.col("_bits"), _bit(key).bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    return out.withColumn("_mapped", F.coalesce(got, F.lit(False))).drop("_word", "_bits")
+
+
 def components(edges: DataFrame, tag: str = "components") -> DataFrame:
     """edges: a, b (long). Connected components: node, root (the smallest node of its component), for the nodes that have edges. Large-star
     and small-star steps in turn, until nothing changes; each step's edges are written to the shared folder."""

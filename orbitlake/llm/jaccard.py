@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import chunks, components, forget, join_skewed, materialize, mix64, read, releasing, runs_hash, small_batches, texts_words
+from ._common import bit_map, chunks, components, forget, join_skewed, mapped, materialize, mix64, read, releasing, runs_hash, small_batches, texts_words
 
 #: Words of a shingle, and least similarity in hundredths.
 K, PERCENT = 5, 80
@@ -337,7 +337,7 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     posts = join_skewed(family, extent, "token", "_token", "members", n_tokens).select("token", "node", parts.alias("parts"))
 
     # the classes' whole sets, from one document each
-    wanted = classes.select("node", "doc_id").join(family.select("node"), "node", "left_semi").select(F.col("doc_id").alias("_id"))
+    wanted = materialize(classes.select("node", "doc_id").join(family.select("node"), "node", "left_semi").select(F.col("doc_id").alias("_id")), "jaccard-wanted")
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,8 +345,11 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
             nodes = np.array([_node(s) for s in found], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "keys"])
 
-    texts = docs.select("doc_id", text).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(text)
+    # most texts are not wanted: a bit map tells nearly all of them, the others meet the ids
+    texts = mapped(docs.select("doc_id", text), "doc_id", bit_map(wanted, "_id")).where("_mapped")
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select(text)
     full = materialize(texts.mapInArrow(releasing(whole), "node bigint, keys binary").dropDuplicates(["node"]), "jaccard-full")
+    forget(wanted)
     cells = _cells(posts, full.join(classes.select("node", "weight"), "node"))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

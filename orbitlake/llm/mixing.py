@@ -81,6 +81,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3
     plan = materialize(plan, "mix-plan")
     cut = thresholds(sized.select("source", "h", "size"), plan.select("source", "budget")).select(F.col("source").alias("_s1"), "threshold")
     plan = plan.join(cut, plan["source"].eqNullSafe(cut["_s1"])).drop("_s1", "budget").withColumnRenamed("source", "_src")
+    plan = materialize(plan, "mix-thresholds")  # its size is known then: where sources are few, the rows stay where they are
     rows = measured(*keep) if keep else sized  # columns to keep are not written, the sizes are computed again with them
     out = rows.join(plan, rows["source"].eqNullSafe(plan["_src"]))
     copies = F.col("_whole") + F.when((F.col("h") < F.col("threshold")) & (F.col("_whole") < int(most)), 1).otherwise(0)

@@ -210,7 +210,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
     lexicon = mine_lexicon(texts, share) if 0 < share < 1 else []
     n = len(lexicon)
     keep = tuple(c for c in keep if c != "doc_id")
-    seen = materialize(look(docs, lexicon, text, ("doc_id", *keep)), "toxicity-seen")
+    seen = materialize(look(docs, lexicon, text, ("doc_id",)), "toxicity-seen")
     weights = np.zeros(n + len(PATTERNS) + 3)
     weights[-1] = np.log(max(share, 1e-12) / max(1 - share, 1e-12))
     if n:
@@ -228,7 +228,8 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text", sample: int =
     for b in range(len(PATTERNS)):
         z = z + F.shiftright("patterns", b).bitwiseAND(1) * F.lit(float(weights[n + b]))
     z = z + F.when(F.size("hits") > 0, float(weights[-3])).otherwise(0.0) + F.least(F.size("hits"), F.lit(10)) / 10 * F.lit(float(weights[-2]))
-    out = seen.withColumn("held_out", held_out()).withColumn("score", 1 / (1 + F.exp(-z)))
+    rows = look(docs, lexicon, text, ("doc_id", *keep)) if keep else seen  # columns to keep are not written, the texts are looked at again with them
+    out = rows.withColumn("held_out", held_out()).withColumn("score", 1 / (1 + F.exp(-z)))
     return out.select("doc_id", *keep, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -73,3 +73,63 @@ def test_pipeline_keeps_one_stage_at_a_time(spark, sf, shared, monkeypatch):
 def test_near_duplicates_keep_only_what_their_result_reads(spark, corpus, shared):
     out = corpus_pipeline.near_duplicate_stage(spark, corpus.select(*corpus_pipeline.COLUMNS), "")
     assert set(tables(shared)) == {"pipeline-first"} and 0 < out.count() < corpus.count()
+
+
+def moved(spark):
+    """Bytes shuffled so far."""
+    sc = spark._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    found = sc.statusStore().executorList(True)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+@pytest.fixture
+def no_small_table(spark):
+    """What Spark broadcasts by size on small inputs, it shuffles on large ones."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_toxicity_writes_no_texts(spark, sf, corpus, shared):
+    out = corpus_pipeline.toxicity_stage(spark, corpus, sf)
+    size = out.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert "toxicity-seen" in tables(shared) and sum(tables(shared).values()) < size / 8
+
+
+def test_near_duplicates_move_few_texts(spark, corpus, shared, tmp_path_factory, monkeypatch, no_small_table):
+    """Neither to get the whole sets nor to drop copies."""
+    by_tag, real = {}, jaccard.materialize
+
+    def told(df, tag, *more):
+        before = moved(spark)
+        out = real(df, tag, *more)
+        by_tag[tag] = moved(spark) - before
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", told)
+    docs = corpus.select(*corpus_pipeline.COLUMNS)
+    before = moved(spark)
+    docs.repartition(4, "doc_id").write.parquet(f"{tmp_path_factory.mktemp('moved')}/all")
+    every = moved(spark) - before
+    out = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    before = moved(spark)
+    out.write.parquet(f"{tmp_path_factory.mktemp('moved')}/kept")
+    assert moved(spark) - before < every / 2 and by_tag["jaccard-full"] < every / 2
+
+
+def test_mixing_moves_no_texts(spark, corpus, shared, tmp_path):
+    out = corpus_pipeline.mixing_stage(spark, corpus, "")
+    before = moved(spark)
+    out.write.parquet(f"{tmp_path}/mixed")
+    assert moved(spark) == before
+
+
+def test_a_bit_map_misses_no_key(spark, monkeypatch):
+    keys = spark.createDataFrame([(None,), *((i,) for i in range(0, 4000, 40))], "k long")
+    rows = spark.range(4000).withColumnRenamed("id", "k").unionByName(spark.createDataFrame([(None,)], "k long"))
+    for bits, most in ((24, 102), (7, 4001)):
+        monkeypatch.setattr(_common, "MAP_BITS", bits)
+        got = {r.k: r._mapped for r in _common.mapped(rows, "k", _common.bit_map(keys, "k")).collect()}
+        assert len(got) == 4001 and got[None] and all(got[k] for k in range(0, 4000, 40)) and sum(got.values()) <= most
+    assert not any(r._mapped for r in _common.mapped(rows, "k", _common.bit_map(keys.limit(0), "k")).collect())
