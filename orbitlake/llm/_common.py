@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -180,12 +181,19 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def give_back() -> None:
+    """Returns what Arrow and the C library hold on to, unused, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def releasing(run):
-    """run, for mapInArrow, with what Arrow holds on to given back at the task's end: workers live on, and later steps run in them."""
+    """run, for mapInArrow, with unused memory given back at the task's end: workers live on, and later steps run in them."""
 
     def inner(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return inner
 

@@ -28,6 +28,8 @@ K, PERCENT = 5, 80
 FREQUENT, FREQUENT_FROM, SEEN_FROM = 400_000, 8, 3
 #: Members, and tokens in all their sets, of a part; two parts meet in a tree.
 GROUP, GROUP_TOKENS = 4096, 1_000_000
+#: Bytes of text that are hashed at once: a worker takes some forty times as much.
+CHUNK = 1_000_000
 _TOP = np.uint64(1 << 63)
 
 
@@ -50,7 +52,7 @@ class Order:
 def shingle_sets(texts: list[str], order: Order | None = None, k: int = K) -> Iterator[np.ndarray]:
     """Each text's set as ascending keys."""
     raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    for a, b in chunks(raw):
+    for a, b in chunks(raw, CHUNK):
         h, bounds = texts_words(raw[a:b], lower=True)
         grams = runs_hash(h, k) >> np.uint64(1)
         if order:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import chunks, read
+from ._common import chunks, read, releasing
 
 #: One more token after each document.
 END_ID = 2
@@ -163,14 +163,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, wi
         for batch in batches:
             kind = batch.column(0).type
             names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts, 4 << 20):
+            for a, b in chunks(texts, 1_000_000):
                 rows = [row for name, ids in zip(names[a:b], tokens(texts[a:b])) for row in packer.add(name, ids + end)]
                 if rows:
                     yield table(rows)
         if rows := list(packer.end()):
             yield table(rows)
 
-    return docs.select(id_col, text).mapInArrow(run, schema)
+    return docs.select(id_col, text).mapInArrow(releasing(run), schema)
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

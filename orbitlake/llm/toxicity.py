@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize, read, small_batches
+from ._common import materialize, read, releasing, small_batches
 
 #: Labelled rows that the lexicon is mined from, and texts that the classifier learns from, at most: those of the smallest hash of the id.
 SAMPLE = 20_000
@@ -79,7 +79,7 @@ def mine_lexicon(texts: DataFrame, share: float) -> list[str]:
             names = [*(seen[0] | seen[1])]
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([seen[1][x] for x in names], pa.int64()), pa.array([seen[0][x] for x in names], pa.int64())], names=["entry", "n1", "n0"])
 
-    counts = texts.select("text", "toxic").mapInArrow(run, "entry string, n1 bigint, n0 bigint").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+    counts = texts.select("text", "toxic").mapInArrow(releasing(run), "entry string, n1 bigint, n0 bigint").groupBy("entry").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
     precision, n = (F.col("n1") - 1) / (F.col("n1") + F.col("n0")), F.col("n1") + F.col("n0")
     by_chance = (F.col("n1") - n * share) / F.sqrt(n * share * (1 - share))
     good = counts.where((n >= MIN_TEXTS) & (precision >= MIN_PRECISION) & (by_chance >= MIN_DEVIATIONS))
@@ -116,7 +116,7 @@ def look(docs: DataFrame, lexicon: list[str], text: str, keep: tuple[str, ...])
                 codes.append(speak(found, len(begun), seen, disguised, len(whole), len(words)))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(hits, pa.list_(pa.int32())), pa.array(bits, pa.int32()), pa.array(codes, pa.int32())], names=[*keep, "hits", "patterns", "code"])
 
-    return docs.select(text, *keep).mapInArrow(run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "hits array<int>", "patterns int", "code int"]))
+    return docs.select(text, *keep).mapInArrow(releasing(run), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "hits array<int>", "patterns int", "code int"]))
 
 
 def speak(hits: list[int], begun: int, patterns: int, disguised: bool, n_whole: int, n_words: int) -> int:
