@@ -11,6 +11,7 @@ is split at powers of two.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,50 +24,68 @@ from ._common import chunks, read, releasing
 
 #: One more token after each document.
 END_ID = 2
-#: Entries of a worker's table of tokenised words; when full it starts anew.
+#: Entries of a worker's tables of tokenised pieces and words, those of the last turn included.
 WORD_TABLE = 700_000
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ž]+)([.,]?)")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ž"
+_PLAIN = re.compile(f"[\n -~{_LETTERS}]*")
+#: The tokenizer's pre-tokens in plain text, where its \p{L} and \p{N} are these letters and digits.
+_PIECES = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^{_LETTERS}0-9 \n]+")
+#: What the tokenizer's special tokens begin with.
+_SPECIAL = "<|"
+
+
+class Table(dict):
+    """make(key) of the keys seen, made once. Of the keys before the last turn, only those met again stay at the next."""
+
+    def __init__(self, make):
+        self.make, self.last = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.last.get(key)
+        if got is None:
+            got = self.make(key)
+        self[key] = got
+        return got
+
+    def turn(self) -> None:
+        self.last = dict(self)
+        self.clear()
 
 
 class WordTokens:
     """Token ids of texts, exactly those of the tokenizer file, as little-endian uint32 bytes.
 
-    The tokenizer's pre-tokens never cross white space, so texts are split at spaces and line feeds and each distinct
-    word is tokenised once. Words of plain Latin letters go to the BPE model directly; all others take the whole
-    tokenizer."""
+    The tokenizer's pre-tokens never cross white space. Texts of Latin letters and ASCII signs are cut to pre-tokens here, and each
+    distinct one goes to the BPE model once. Other texts are split at spaces and line feeds; of their words, those of other
+    characters take the whole tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.whole.model
+        self.pieces, self.words = Table(self._piece), Table(self._word)
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in plain]
-        self.chars = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+        self.chars = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in plain)}
 
-    def _letters(self, word: str) -> bytes:
-        if (got := self.known.get(word)) is None:
-            low = word if word.isascii() else "".join(map(self.chars.__getitem__, word.encode()))
-            got = self.known[word] = np.array([t.id for t in self.whole.model.tokenize(low)], "<u4").tobytes()
-        return got
+    def _piece(self, low: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(self.chars))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+
+    def _word(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word) and _SPECIAL not in word:
+            return self._plain(word)
+        return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > WORD_TABLE:
-            known.clear()
-            known[""] = b""
-        parts = [t.replace("\n", " ").split(" ") for t in texts]
-        odd = []
-        for word in {w for p in parts for w in p}.difference(known):
-            if m := _PLAIN.fullmatch(word):
-                if m[2] and m[2] not in known:
-                    known[m[2]] = np.array(self.whole.encode(m[2], add_special_tokens=False).ids, "<u4").tobytes()
-                known[word] = self._letters(m[1].lower()) + (known[m[2]] if m[2] else b"")
-            else:
-                odd.append(word)
-        for word, got in zip(odd, self.whole.encode_batch(odd, add_special_tokens=False)):
-            known[word] = np.array(got.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        if len(self.pieces) + len(self.words) > WORD_TABLE // 2:
+            self.pieces.turn()
+            self.words.turn()
+        word = self.words.__getitem__
+        return [self._plain(t) if _PLAIN.fullmatch(t) and _SPECIAL not in t else b"".join(map(word, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 _TOKENS: dict[str, WordTokens] = {}

@@ -69,6 +69,49 @@ def test_full_bins_hold_their_classes_count():
         assert sum(packing.pieces(n, 64)) == n and max(packing.pieces(n, 64)) <= 64
 
 
+class Counting:
+    """A tokenizer that counts what is tokenised."""
+
+    def __init__(self, made):
+        self.made, self.model, self.n = made, self, 0
+
+    def tokenize(self, word):
+        self.n += 1
+        return self.made.model.tokenize(word)
+
+    def encode(self, text, **how):
+        self.n += 1
+        return self.made.encode(text, **how)
+
+    def encode_batch(self, texts, **how):
+        self.n += len(texts)
+        return self.made.encode_batch(texts, **how)
+
+
+def test_pieces_are_tokenised_once_and_kept_over_turns(monkeypatch):
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole = tokenizers.Tokenizer.from_file(path)
+    monkeypatch.setattr(tokenizers, "Tokenizer", type("Tokenizer", (), {"from_file": staticmethod(lambda p: Counting(whole))}))
+    tokens = packing.WordTokens(path)
+
+    def exact(texts):
+        assert tokens(texts) == [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+    stems = ["".join(x) for x in itertools.product("abcdé", repeat=3)]
+    exact([f"{w} {w.title()}, {w.upper()}!! {w}*** {w}.&&& {w}7" for w in stems])
+    assert tokens.whole.n <= len(stems) + 6  # before, each word with signs was tokenised anew
+    monkeypatch.setattr(packing, "WORD_TABLE", 100)
+    before = tokens.whole.n
+    rare = ["".join(x) for x in itertools.product("fghijklmno", repeat=3)]
+    for i in range(0, len(rare), 40):
+        exact([" ".join(["the of and", *rare[i : i + 40]])])
+    assert tokens.whole.n - before <= len(rare) + 3  # the common words live on
+    exact(["DON'T we'LL 'tis ''s ,'re x''d", "a<|endoftext|>b <|startoftext|>", "Straße İÇA ŒUVRE\u0301 e\u0301É", "a\tb\r\n c\x1cd\u00a0e", "naïve “quotes” – СЛОВО ΣΑΣ 你好 🙂1²", "", " \n "])
+
+
 # --- sharding --------------------------------------------------------------------------------------------------------------
 
 
