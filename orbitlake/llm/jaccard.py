@@ -4,7 +4,7 @@ A document's set is its distinct 5-word shingles. All sets are ordered by one gl
 frequent by their hash, then the frequent ones by their count. Equal sets form one class. Two sets of Jaccard
 similarity t or more share a token among their first n - ceil(t n) + 1, so classes meet in the groups of those tokens;
 a group with the same members as one of an earlier token is dropped, since its pairs meet there, and a member leaves if its size and a few
-bits a token show that it is like no other. Groups that share members become one family. A family's sets are stored, from the frequent end of the
+bits a token show that it is like no other. Members that by their sizes and bits may be alike, and what hangs together by them, become one family. A family's sets are stored, from the frequent end of the
 order on, in a path-compressed tree and all members traverse it at once: the overlap up to a node is counted once for all sets
 below it, and a subtree is left as soon as the overlap so far and what remains cannot reach the bound any more. A family of p times
 the tokens that a tree may hold is dealt to p parts, and each two parts meet in a tree: every pair meets once.
@@ -188,9 +188,8 @@ def bit_set(keys: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
-    """Of the members of a group, those that may be similar to another by their sizes and bits. No similar pair is missed."""
-    out = np.zeros(len(sizes), bool)
+def _close(sizes: np.ndarray, bits: list[bytes], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of the members of a group, each with those that may be similar to it by their sizes and bits: no similar pair is missed."""
     lengths = np.array([len(b) for b in bits])
     for length in np.unique(lengths):
         # sizes of similar sets are within percent / 100, so their bits are as many or twice as many
@@ -207,11 +206,27 @@ def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np
             other = size - np.bitwise_count(rest & ~table[i]).sum(1, dtype=np.int64)
             hit = np.minimum(mine, other) * (100 + percent) >= percent * (n[i] + size)
             if hit.any():
-                out[at[i]] = True
-                out[at[i + 1 : ends[i]][hit]] = True
+                yield at[i], at[i + 1 : ends[i]][hit]
+
+
+def may_link(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
+    """Of the members of a group, those that may be similar to another."""
+    out = np.zeros(len(sizes), bool)
+    for i, others in _close(sizes, bits, percent):
+        out[i] = out[others] = True
     return out
 
 
+def may_reach(sizes: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> np.ndarray:
+    """For each member of a group the first one that it hangs together with by pairs that may be similar: itself, if there is none."""
+    label = np.arange(len(sizes))
+    for i, others in _close(sizes, bits, percent):
+        found = np.unique(label[np.append(others, i)])
+        if len(found) > 1:
+            label[np.isin(label, found)] = found[0]
+    return label
+
+
 def _shared(posts: DataFrame, rows: int) -> DataFrame:
     """Those posts whose token has more than one: most tokens have one, and to tell them by a count alone moves a token and its count, not what tells groups apart."""
     counts = materialize(posts.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "jaccard-tokens")
@@ -316,23 +331,24 @@ def similar(docs: DataFrame, percent: int = PERCENT, k: int = K, text: str = "te
     n_tokens = signed.agg(F.sum(F.size("prefix"))).first()[0] or 0
 
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (token, _, _), rows in _by_cell(batches):
-            keep = [r["node"] for r, k in zip(rows, may_link(np.array([r["n"] for r in rows]), [r["bits"] for r in rows], percent)) if k]
-            if keep:
-                yield pa.RecordBatch.from_arrays([pa.array([token] * len(keep), pa.int64()), pa.array(keep, pa.int64())], names=["token", "node"])
+        for _, rows in _by_cell(batches):
+            nodes = np.array([r["node"] for r in rows], np.int64)
+            label = may_reach(np.array([r["n"] for r in rows]), [r["bits"] for r in rows], percent)
+            keep = label != np.arange(len(rows))
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label][keep])], names=["a", "b"])
 
     # groups: a token and the classes that have it in their prefix
     posts = _shared(signed.select("node", F.explode("prefix").alias("token")), n_tokens)
     groups = join_skewed(posts, _first_of_equal(_groups(posts)), "token", "_token", "size", n_tokens)
     groups = materialize(groups.select("token", "node", F.ceil(F.col("size") / GROUP).cast("int").alias("parts")), "jaccard-groups")
     forget(posts)
-    near = _cells(groups, signed.select("node", "n", "bits")).mapInArrow(releasing(filtered), "token bigint, node bigint").distinct()
+    near = _cells(groups, signed.select("node", "n", "bits")).mapInArrow(releasing(filtered), "a bigint, b bigint").distinct()
     near = materialize(near, "jaccard-near")
     forget(groups)
     forget(signed)
-    # what is left hangs together in families
-    edges = join_skewed(near, _first_of_equal(_groups(near)), "token", "_token", "size", n_tokens).select(F.col("node").alias("a"), F.col("low").alias("b"))
-    family = components(edges, "jaccard-families").withColumnRenamed("root", "token")
+    # what is left hangs together in families, by its pairs: groups have members in common far more often, the more rows there are, and would be one family in the end
+    family = components(near, "jaccard-families").withColumnRenamed("root", "token")
     family = materialize(family.join(classes.select("node", "n"), "node"), "jaccard-families")
     extent = family.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
     parts = F.greatest(F.ceil(F.col("members") / GROUP), F.ceil(F.col("tokens") / GROUP_TOKENS)).cast("int")

@@ -133,3 +133,17 @@ def test_a_bit_map_misses_no_key(spark, monkeypatch):
         got = {r.k: r._mapped for r in _common.mapped(rows, "k", _common.bit_map(keys, "k")).collect()}
         assert len(got) == 4001 and got[None] and all(got[k] for k in range(0, 4000, 40)) and sum(got.values()) <= most
     assert not any(r._mapped for r in _common.mapped(rows, "k", _common.bit_map(keys.limit(0), "k")).collect())
+
+
+def test_families_hang_together_by_pairs_not_by_groups(spark, docs_of, shared, monkeypatch):
+    """Pairs of near copies, each with half of its words in common with the next pair: their groups have members in common, but a family is a pair."""
+    texts = []
+    for i in range(40):
+        words = [f"w{j}" for j in range(60 * i, 60 * i + 120)]
+        texts += [" ".join(words), " ".join([*words, "end"])]
+    seen = []
+    monkeypatch.setattr(jaccard, "materialize", lambda df, tag, *a: seen.append((tag, out := _common.materialize(df, tag, *a))) or out)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.similar(docs_of(texts)).collect()}
+    assert got == {i: i - i % 2 for i in range(80)}
+    family = [df for tag, df in seen if tag == "jaccard-families"][-1]
+    assert sorted(r["n"] for r in family.groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()) == [2] * 40
