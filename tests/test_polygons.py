@@ -1,6 +1,7 @@
 """Polygons: identities of areas on random shapes, places inside against ray casting, repair, buffers, overlap resolution, dissolve."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,3 +163,30 @@ def test_tiles_of_a_region(spark):
     for r in got:
         covered |= holds([[{"x": p["x"], "y": p["y"]} for p in r["c"]]], x, y)
     assert inside.sum() > 500 and covered[inside].mean() > 0.999
+
+
+def test_areas_of_many_pairs_in_one_sweep(monkeypatch):
+    """Those of the overlays of each pair, also where shapes are missing, damaged, equal or of very different size; no overlay is run."""
+    rng = np.random.default_rng(3)
+    a, b = [shape(rng) for _ in range(300)], [shape(rng) for _ in range(300)]
+    bow = [{"x": u, "y": v} for u, v in ((0, 0), (2, 2), (2, 0), (0, 2))]
+    a += [[], None, [bow, None, []], [square(0, 0)], [square(0, 0)] * 2, [square(0, 0, 1e3)], [square(-5, -5, 9), square(-4, -4, 2)], [square(0, 0)[:2]]]
+    b += [[square(0, 0)], [square(0, 0)], [square(1, 0)], [square(0, 0)], [square(0, 0)], [square(3, 3)], [square(-4, -4, 3)], [square(0, 0)]]
+    want = np.array([[area(P.overlay([x])), area(P.overlay([y])), area(P.overlay([x, y], RULES["intersection"]))] for x, y in zip(a, b)])
+    monkeypatch.setattr(P, "overlay", None)
+    kind = P._KIND.value_type
+    for most, meetings in ((4096, 1_000_000), (7, 3_000), (1, 1)):
+        monkeypatch.setattr(P, "_PAIRS", most)
+        monkeypatch.setattr(P, "_MEETINGS", meetings)
+        got = np.array(P.areas(pa.array(a, kind), pa.array(b, kind))).T
+        assert np.allclose(got, want, rtol=1e-5, atol=1e-7)
+    assert [len(x) for x in P.areas(pa.array([], kind), pa.array([], kind))] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("name", ["j13_polygon_overlay"])
+def test_pairs_build_no_rings(spark, sf, name):
+    """Pairs grow with the square of the table: a task may sweep over many at once, but not overlay them one by one."""
+    from orbitlake.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("rings2") and not [x for x in plan.split("\n") if "two(rings" in x and "rings2" in x]
