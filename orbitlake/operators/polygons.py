@@ -432,12 +432,13 @@ def resolve_overlaps(contours: DataFrame, sites: DataFrame, height: float = 0.02
     A contour without polygons, or NULL, stays as it is."""
     rect = sites.select("name", geo.rect_around(F.col("lon"), F.col("lat"), height).alias("rect_a"), "lon", "lat")
     other = rect.select(F.col("name").alias("name2"), F.col("rect_a").alias("rect_b"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
-    pairs = spatial.rect_pairs(rect, other, height, geo.rects_overlap).where("name <> name2").select("name", "name2", "lon", "lat", "lon2", "lat2")
     parts = shared(contours.select("name", "date", F.posexplode("polygons").alias("part", "rings")).where(F.size("rings") > 0).select("*", centroid(F.col("rings")).alias("centre"), bounds(F.get("rings", 0)).alias("box")))
     theirs = parts.select(*[F.col(c).alias(f"{c}2") for c in ("name", "date", "rings", "centre", "box")])
-    near = parts.join(pairs, "name").join(theirs, ["name2"]).where((F.col("date") == F.col("date2")) & geo.rects_intersect(F.col("box"), F.col("box2")))
+    # polygons of one date meet where their boxes do, not by way of all pairs of sites
+    meet = lambda p, q: geo.rects_intersect(p, q) & (F.col("date") == F.col("date2")) & (F.col("name") != F.col("name2")) & geo.rects_overlap(F.col("rect_a"), F.col("rect_b"))
+    near = spatial.rect_pairs(parts.join(rect, "name"), theirs.join(other, "name2"), height, meet, "box", "box2", spread=True)
     own, foreign = geo.distance(F.col("centre.x"), F.col("centre.y"), F.col("lon"), F.col("lat")), geo.distance(F.col("centre2.x"), F.col("centre2.y"), F.col("lon2"), F.col("lat2"))
-    common = area(intersection(F.col("rings"), F.col("rings2"), grid))
+    common = overlap(F.col("rings"), F.col("rings2"), grid)["common"]
     partly = near.where(own > foreign).withColumn("_common", common).where((F.col("_common") > 0) & (F.col("_common") < F.least(rings_area(F.col("rings")), rings_area(F.col("rings2"))) * (1 - 1e-9)))
     lost = partly.select("name", "date", "part").distinct().join(parts.select("name", "date", "part", "rings"), ["name", "date", "part"])
     lost = lost.groupBy("name", "date").agg(F.collect_list("rings").alias("_lost"))

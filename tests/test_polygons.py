@@ -183,7 +183,7 @@ def test_areas_of_many_pairs_in_one_sweep(monkeypatch):
     assert [len(x) for x in P.areas(pa.array([], kind), pa.array([], kind))] == [0, 0, 0]
 
 
-@pytest.mark.parametrize("name", ["j13_polygon_overlay"])
+@pytest.mark.parametrize("name", ["j13_polygon_overlay", "j13_resolved_contours"])
 def test_pairs_build_no_rings(spark, sf, name):
     """Pairs grow with the square of the table: a task may sweep over many at once, but not overlay them one by one."""
     from orbitlake.plans.queries import QUERIES
