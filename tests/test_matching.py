@@ -40,6 +40,19 @@ def test_many_points_of_one_component(spark):
     assert {r["id"]: r["id2"] for r in got.collect()} == sequential(a, b, 0.012)
 
 
+@pytest.mark.parametrize("last", [0, 100_000])
+def test_points_in_one_place_take_few_rounds(spark, monkeypatch, last):
+    """All pairs are within reach: as many as the square of the points, and each waits for the one before."""
+    from orbitlake.operators import merge
+
+    seen = []
+    write = merge.shared
+    monkeypatch.setattr(merge, "shared", lambda df: seen.append(1) or write(df))
+    a = np.full((1500, 2), 0.3)
+    got = spatial.greedy_match(points(spark, a, ["id", "seq", "lon", "lat"]), points(spark, a[:1400], ["id2", "seq2", "lon2", "lat2"]), 0.08, last)
+    assert {r["id"]: r["id2"] for r in got.collect()} == {i: i for i in range(1400)} and len(seen) < 10
+
+
 def test_no_pairs(spark):
     a = points(spark, np.zeros((1, 2)), ["id", "seq", "lon", "lat"])
     b = points(spark, np.ones((1, 2)), ["id2", "seq2", "lon2", "lat2"])
